@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.llm.incremental import batch_duplicates
 from corpusmill.llm.repeated import repeated_lines
 from corpusmill.sources.tables import table
 
@@ -14,8 +15,13 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_lines(table(spark, folder, "articles"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return batch_duplicates(table(spark, folder, "seen_urls"), table(spark, folder, "content_hashes"), table(spark, folder, "sources"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
+    "p6_found": p6_found,
 }
 SQL: dict[str, str] = {
     "p3_found": r"""
