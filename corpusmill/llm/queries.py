@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.encoding import garbled_fields
 from corpusmill.llm.incremental import batch_duplicates
 from corpusmill.llm.mixing import mix_sources
 from corpusmill.llm.quality import COMMON_WORDS, FEATURES, KOREAN_ENDINGS, junk_probability, text_statistics
@@ -19,6 +20,10 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_lines(table(spark, folder, "articles"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return garbled_fields(table(spark, folder, "articles"), table(spark, folder, "lang_samples"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return batch_duplicates(table(spark, folder, "seen_urls"), table(spark, folder, "content_hashes"), table(spark, folder, "sources"))
 
@@ -53,6 +58,7 @@ def p10_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
+    "p4_found": p4_found,
     "p6_found": p6_found,
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
