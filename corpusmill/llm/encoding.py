@@ -51,25 +51,49 @@ CHAINS: tuple[tuple[tuple[str, str], ...], ...] = tuple(((n, "utf-8"),) for n in
 #: What texts of the languages here are written with; a decoding that yields anything else is chance.
 _PLAUSIBLE = re.compile(r"[\x00-\x7f\xa0-\u017f\u0192\u02c6\u02dc\u0400-\u045f\u0490\u0491\u1100-\u11ff\u2010-\u2044\u20a0-\u20bf\u2100-\u21ff\u25a0-\u27bf\u3000-\u303f\u3130-\u318f\uac00-\ud7a3\uff00-\uffef\x80-\x9f]*")
 _RUN = re.compile(r"[^\x00-\x7f]+")
+_HANGUL, _CYRILLIC = re.compile(r"[가-힣]"), re.compile(r"[Ѐ-џ]")
 _HIGH = re.compile(r"[¡-ÿ]{3}")
 _CAPITAL_INSIDE = re.compile(r"[a-zà-öø-ÿа-яё][A-ZÀ-ÖØ-ÞА-ЯЁ]")
 _CAPITALS = re.compile(r"[А-ЯЁ]{3}|[а-яё][А-ЯЁ]{2}")
 
 
 def _utf8_gate(name: str) -> tuple[frozenset[str], re.Pattern[str]]:
-    """Characters of frequent lead bytes, and a pattern of a lead byte's character before a continuation byte's."""
+    """Characters of frequent lead bytes, and a pattern of the characters of a two- or three-byte sequence."""
     c = CHARS[name]
-    lead = re.escape("".join(c[b] for b in range(0xC2, 0xF5)))
-    cont = re.escape("".join(c[b] for b in range(0x80, 0xC0)))
-    leads = frozenset(c[b] for b in (0xC2, 0xC3, 0xC4, 0xC5, 0xD0, 0xD1, 0xE2, 0xEA, 0xEB, 0xEC, 0xED))
-    return leads, re.compile(f"[{lead}][{cont}]")
+    two, three, cont = (re.escape("".join(c[b] for b in r)) for r in (range(0xC2, 0xE0), range(0xE0, 0xF0), range(0x80, 0xC0)))
+    # in cp866 the continuation bytes are letters: only the leads that aren't count there
+    leads = (0xC2, 0xC3, 0xC4, 0xC5, 0xD0, 0xD1) + ((0xE2, 0xEA, 0xEB, 0xEC, 0xED) if name != "cp866" else ())
+    return frozenset(c[b] for b in leads), re.compile(f"[{two}][{cont}]|[{three}][{cont}]{{2}}")
 
 
 UTF8_GATES = {n: _utf8_gate(n) for n in READ_AS}
 
 
+def _swap_table(read: str, real: str) -> dict[int, str]:
+    """Character for character, where both charsets have one byte each; only plausible results."""
+    out = {}
+    for code, byte in TO_BYTES[read].items():
+        try:
+            new = bytes([byte]).decode(real)
+        except UnicodeDecodeError:
+            continue
+        if code > 0x7F and _PLAUSIBLE.fullmatch(new):
+            out[code] = new
+    return out
+
+
+SWAPS = {(a, b): _swap_table(a, b) for a, b in SINGLE if b not in ("euc-kr", "cp949")}
+
+
 def _steps(text: str, chain: tuple[tuple[str, str], ...]) -> str:
     for read, real in chain:
+        if (read, real) in SWAPS:
+            sign, table = _CAPITALS if read in ("cp1251", "koi8-r") else _HIGH, SWAPS[read, real]
+            new = "\n".join(x.translate(table) if sign.search(x) else x for x in text.split("\n"))
+            if new == text:
+                return text
+            text = new
+            continue
         table = TO_BYTES[read]
 
         def fix(m: re.Match[str], table=table, real=real) -> str:
@@ -107,10 +131,19 @@ class Dictionaries:
     def __hash__(self) -> int:
         return id(self)
 
-    def length(self, text: str) -> int:
-        """The least compressed size over the languages."""
+    @lru_cache(maxsize=1)  # noqa: B019
+    def scripts(self) -> dict[str, list[str]]:
+        """The languages written in each script."""
+        out: dict[str, list[str]] = {}
+        for name, raw in self.texts.items():
+            out.setdefault(script(raw.decode("utf-8", "ignore")), []).append(name)
+        return out
+
+    def length(self, text: str, languages: list[str] | None = None) -> int:
+        """The least compressed size over the languages, or over all."""
         raw = text.encode("utf-8", "surrogatepass")
-        return min((len(c.compress(raw)) for c in self.compressors().values()), default=len(raw))
+        every = self.compressors()
+        return min((len(every[n].compress(raw)) for n in languages or every), default=len(raw))
 
 
 def train_dictionaries(samples: DataFrame, language_col: str = "language", text_col: str = "text", limit_bytes: int = DICTIONARY_BYTES) -> Dictionaries:
@@ -125,6 +158,14 @@ def train_dictionaries(samples: DataFrame, language_col: str = "language", text_
     return Dictionaries({k: bytes(v) for k, v in texts.items() if len(v) >= 8})
 
 
+def script(text: str) -> str:
+    """The script of most letters outside ASCII, if these are many: ko, cyrillic or latin."""
+    hangul, cyrillic = len(_HANGUL.findall(text)), len(_CYRILLIC.findall(text))
+    if max(hangul, cyrillic) * 4 < len(text):
+        return "latin"
+    return "hangul" if hangul > cyrillic else "cyrillic"
+
+
 def candidate_chains(text: str) -> list[tuple[tuple[str, str], ...]]:
     """Chains worth trying, by cheap signs in the text; nothing for ordinary text."""
     have = set(text)
@@ -152,24 +193,33 @@ def repair(text: str | None, dictionaries: Dictionaries) -> tuple[str | None, bo
     bad = LOST in text
     for _ in range(3):
         best, gain = None, 0
+        tried = {text}
+        partly: dict[tuple, str] = {}
+        controls = _controls(text)
         for chain in candidate_chains(text):
-            new = _steps(text, chain)
-            if new == text:
+            for k in range(len(chain)):  # steps shared by chains are taken once
+                if chain[: k + 1] not in partly:
+                    partly[chain[: k + 1]] = _steps(partly[chain[:k]] if k else text, chain[k : k + 1])
+            new = partly[chain]
+            if new in tried:
                 continue
+            tried.add(new)
             old_lines, new_lines = text.split("\n"), new.split("\n")
             if len(old_lines) != len(new_lines):
                 continue
             changed = [i for i, (a, b) in enumerate(zip(old_lines, new_lines, strict=True)) if a != b]
+            languages = dictionaries.scripts().get(script("".join(new_lines[i] for i in changed)))
             if chain[-1][1] not in STEP_COST:  # any line can be read so: each must gain, or at least not look worse
-                changed = [i for i in changed if _gains(old_lines[i], new_lines[i], dictionaries, 2 if chain[-1][0] in ("cp1252", "latin-1") else 0)]
-                new_lines = [new_lines[i] if i in set(changed) else x for i, x in enumerate(old_lines)]
-                new = "\n".join(new_lines)
+                slack = 2 if chain[-1][0] in ("cp1252", "latin-1") else 0
+                changed = [i for i in changed if _gains(old_lines[i], new_lines[i], dictionaries, slack, languages)]
+                keep = set(changed)
+                new = "\n".join(new_lines[i] if i in keep else x for i, x in enumerate(old_lines))
                 if not changed:
                     continue
-            now = dictionaries.length("\n".join(old_lines[i] for i in changed))
-            then = dictionaries.length("\n".join(new_lines[i] for i in changed)) + sum(STEP_COST.get(real, OTHER_COST) for _, real in chain)
-            if _controls(new) > _controls(text):
+            if _controls(new) > controls:
                 continue
+            now = dictionaries.length("\n".join(old_lines[i] for i in changed), languages)
+            then = dictionaries.length("\n".join(new_lines[i] for i in changed), languages) + sum(STEP_COST.get(real, OTHER_COST) for _, real in chain)
             if now - then > gain:
                 best, gain = new, now - then
         if best is None:
@@ -178,9 +228,9 @@ def repair(text: str | None, dictionaries: Dictionaries) -> tuple[str | None, bo
     return text, bad
 
 
-def _gains(old: str, new: str, dictionaries: Dictionaries, slack: int) -> bool:
+def _gains(old: str, new: str, dictionaries: Dictionaries, slack: int, languages: list[str] | None) -> bool:
     """Short lines with words outside the dictionaries compress alike either way; slack lets them follow the rest of the text."""
-    before, after = dictionaries.length(old), dictionaries.length(new)
+    before, after = dictionaries.length(old, languages), dictionaries.length(new, languages)
     return after < before or (after <= before + slack and _odd_words(new) <= _odd_words(old))
 
 

@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from corpusmill.llm.encoding import garbled_fields
 from corpusmill.llm.incremental import batch_duplicates
 from corpusmill.llm.mixing import mix_sources
+from corpusmill.llm.pagebody import body_lines
 from corpusmill.llm.quality import COMMON_WORDS, FEATURES, KOREAN_ENDINGS, junk_probability, text_statistics
 from corpusmill.llm.repeated import repeated_lines
+from corpusmill.llm.residue import residue_pages
 from corpusmill.llm.tokens import encode_corpus
 from corpusmill.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return body_lines(table(spark, folder, "articles"), table(spark, folder, "lang_samples"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_lines(table(spark, folder, "articles"))
 
@@ -24,6 +30,10 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return garbled_fields(table(spark, folder, "articles"), table(spark, folder, "lang_samples"))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue_pages(table(spark, folder, "articles"), table(spark, folder, "lang_samples"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return batch_duplicates(table(spark, folder, "seen_urls"), table(spark, folder, "content_hashes"), table(spark, folder, "sources"))
 
@@ -57,8 +67,10 @@ def p10_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
     "p3_found": p3_found,
     "p4_found": p4_found,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
