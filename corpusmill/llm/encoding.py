@@ -197,6 +197,8 @@ def repair(text: str | None, dictionaries: Dictionaries) -> tuple[str | None, bo
         partly: dict[tuple, str] = {}
         controls = _controls(text)
         for chain in candidate_chains(text):
+            if gain * 10 > len(text) and any(real not in STEP_COST for _, real in chain):
+                continue  # so much valid UTF-8 isn't chance; readings that any bytes allow needn't be tried
             for k in range(len(chain)):  # steps shared by chains are taken once
                 if chain[: k + 1] not in partly:
                     partly[chain[: k + 1]] = _steps(partly[chain[:k]] if k else text, chain[k : k + 1])

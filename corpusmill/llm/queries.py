@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.encoding import garbled_fields
 from corpusmill.llm.incremental import batch_duplicates
+from corpusmill.llm.langid import wrong_languages
 from corpusmill.llm.mixing import mix_sources
 from corpusmill.llm.pagebody import body_lines
 from corpusmill.llm.quality import COMMON_WORDS, FEATURES, KOREAN_ENDINGS, junk_probability, text_statistics
@@ -38,6 +39,10 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return batch_duplicates(table(spark, folder, "seen_urls"), table(spark, folder, "content_hashes"), table(spark, folder, "sources"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return wrong_languages(table(spark, folder, "articles"), table(spark, folder, "lang_samples"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p6_found": p6_found,
+    "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
