@@ -77,6 +77,7 @@ _CUE = re.compile("|".join(map(_tolerant, _CUES)))
 _CODE = re.compile(CODES)
 _SLOT_MARK = re.compile(r"[{%\[<@$]|__|XX|TODO|&lt;")
 _WORDS = re.compile(r"[^\W_]+")
+_DIGITS = re.compile(r"\d+")
 _SENTENCE = re.compile(r"(?<=[.!?。])\s+")
 # Function words; a longer Latin text without any is in no language.
 FUNCTION_WORDS = frozenset(
@@ -145,29 +146,46 @@ def _no_language(lines: list[str]) -> bool:
     return n >= 8 and n >= 9 * other and len(seen) >= 3
 
 
+_MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+
 def normal_words(text: str) -> list[str]:
-    return [re.sub(r"\d+", "0", w) for w in _WORDS.findall(text.casefold())]
+    return _WORDS.findall(_DIGITS.sub("0", text.casefold()))
 
 
-def shingles(words: list[str], n: int = SHINGLE_WORDS) -> set[int]:
-    """Hashes of the word n-grams; of the whole text where it has fewer words."""
-    if not words:
-        return set()
-    return {xxhash.xxh3_64_intdigest(" ".join(words[i : i + n])) for i in range(max(1, len(words) - n + 1))}
+@lru_cache(maxsize=200_000)
+def _word_hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word)
 
 
-def simhash(features: set[int]) -> int:
-    """The 64-bit fingerprint of a set of hashes, signed; 0 for none."""
-    if not features:
+def shingles(words: list[str], n: int = SHINGLE_WORDS) -> np.ndarray:
+    """Distinct hashes of the word n-grams, sorted; of the whole text where it has fewer words."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(_word_hash, words), np.uint64, len(words))
+    n = min(n, len(words))
+    m = len(words) - n + 1
+    out = h[:m] * _MULT[0]
+    for j in range(1, n):
+        out ^= (h[j : j + m] + _MULT[j]) * _MULT[j]
+        out ^= out >> np.uint64(31)
+        out *= _MULT[0]
+    return np.unique(out)
+
+
+def simhash(features: np.ndarray) -> int:
+    """The 64-bit fingerprint of distinct hashes, signed; 0 for none."""
+    if not len(features):
         return 0
-    h = np.fromiter(features, np.uint64, len(features))
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = bits.sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones >= len(h), bitorder="little").view(np.int64)[0])
+    ones = np.unpackbits(features.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones >= len(features), bitorder="little").view(np.int64)[0])
 
 
-def jaccard(a: set[int], b: set[int]) -> float:
-    return len(a & b) / len(a | b) if a or b else 1.0
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    if not len(a) and not len(b):
+        return 1.0
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
 
 
 def table_keys(fingerprint: int) -> list[int]:
