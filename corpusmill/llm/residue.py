@@ -101,8 +101,8 @@ def line_residue(line: str) -> bool:
     if line.count(LOST) * 4 > len(line):
         return False
     low = line.casefold()
-    if len(low) < 140 and (any(c in low for c in _CUES) or (LOST in low and _CUE.search(low))):
-        return True
+    if len(low) < 140 and (sum(len(c) * low.count(c) for c in _CUES if c in low) * 5 >= len(low) or (LOST in low and _CUE.search(low))):
+        return True  # the message is a good part of the line
     return _CODE.fullmatch(low) is not None
 
 
