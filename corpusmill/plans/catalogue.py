@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.plans import general, insight_queries, relational_queries, scalar_queries
+from corpusmill.plans import general, insight_queries, relational_queries, scalar_queries, serving_queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for module in (general, scalar_queries, insight_queries, relational_queries):
+for module in (general, scalar_queries, insight_queries, relational_queries, serving_queries):
     QUERIES.update(module.QUERIES)
     SQL.update(module.SQL)
