@@ -44,7 +44,7 @@ def html_css_body(spark, d):
     return _pages(spark, d).select("article_id", M.html_body(F.col("html")).alias("body"))
 
 
-@query(f"with {ART} select article_id, unnest(list_distinct([regexp_replace(url, '#.*$', ''), 'https://' || source || '/home', 'https://' || source || '/about']) as link from art where url is not null and source is not null and not regexp_matches(url, '[#\"'']')")
+@query(f"with {ART} select article_id, unnest(list_distinct([regexp_replace(url, '#.*$', ''), 'https://' || source || '/home', 'https://' || source || '/about'])) as link from art where url is not null and source is not null")
 def html_links(spark, d):
     return _pages(spark, d).select("article_id", F.explode(M.html_links(F.col("html"), F.col("source"))).alias("link"))
 
