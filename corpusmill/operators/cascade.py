@@ -8,24 +8,36 @@ longest chain of candidates, not of the table.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.runtime import settle
 
-BITS, BLOCKS = 10, 11
+BITS = 10
 
 
 def fingerprint_pairs(rows: DataFrame, bits: int = BITS) -> DataFrame:
-    """(a, b, bits) of rows (id, seq, simhash) with at most `bits` different bits, a earlier; one of bits + 1 blocks is equal."""
-    blocks = bits + 1
+    """(a, b, bits) of rows (id, seq, simhash) with at most `bits` different bits, a earlier.
+
+    Of bits + k blocks at least k are equal, so all choices of k blocks are keys and no pair is lost;
+    k grows with the number of rows, so that a key's group stays small.
+    """
+    rows = rows.where("simhash <> 0").select("id", "seq", "simhash")
+    n = rows.count()
+    k = 1 + sum(n > limit for limit in (3_000, 200_000, 5_000_000))
+    blocks = bits + k
     edges = [64 * i // blocks for i in range(blocks + 1)]
     part = lambda i: F.shiftrightunsigned("simhash", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    keyed = rows.where("simhash <> 0").select("id", "seq", "simhash", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), part(i).alias("v")) for i in range(blocks)))).alias("k"))
+    chosen = F.array(*(F.array(*map(F.lit, c)) for c in combinations(range(1, blocks + 1), k)))
+    parts = rows.withColumn("_p", F.array(*(part(i) for i in range(blocks))))
+    keys = F.transform(chosen, lambda c: F.xxhash64(c, F.transform(c, lambda i: F.element_at(F.col("_p"), i))))
+    keyed = parts.select("id", "seq", "simhash", F.explode(keys).alias("k"))
     a, b = keyed.alias("a"), keyed.alias("b")
     dist = X.hamming(F.col("a.simhash"), F.col("b.simhash"))
-    return a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.seq") < F.col("b.seq")) & (dist <= bits)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), dist.alias("bits")).distinct()
+    return a.join(b, (F.col("a.k") == F.col("b.k")) & (dist <= bits) & (F.col("a.seq") < F.col("b.seq"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), dist.alias("bits")).distinct()
 
 
 def dedup_cascade(rows: DataFrame, max_rounds: int = 30) -> DataFrame:

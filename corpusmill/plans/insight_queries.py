@@ -246,12 +246,12 @@ _SEC = f"sec as (select *, {', '.join(f'{h} as h_{k}' for k, h in _HITS.items())
 
 def _sector_days(spark, d):
     t = text_col()
-    hits = {k: F.regexp_count(t, F.lit(v)) for k, v in SECTORS.items()}
-    top = F.greatest(*hits.values())
-    sector = F.when(top == 0, None)
-    for k, h in hits.items():
-        sector = sector.when(h == top, k)
-    return scored(spark, d).where("day is not null and steeps = 'E'").withColumn("sector", sector).where("sector is not null").groupBy("sector", "day").agg(F.avg("score").alias("s"), F.count("*").alias("n"))
+    rows = scored(spark, d).where("day is not null and steeps = 'E'").select("day", "score", *(F.regexp_count(t, F.lit(v)).alias(k) for k, v in SECTORS.items()))
+    rows = rows.withColumn("top", F.greatest(*SECTORS))
+    sector = F.when(F.col("top") == 0, None)
+    for k in SECTORS:
+        sector = sector.when(F.col(k) == F.col("top"), k)
+    return rows.withColumn("sector", sector).where("sector is not null").groupBy("sector", "day").agg(F.avg("score").alias("s"), F.count("*").alias("n"))
 
 
 @query(f"with {SCO}, {_SEC} select sector, cast(day as varchar) as day, round(s, 6) as sentiment, n from sdy")
