@@ -90,7 +90,7 @@ def feed_items(xml: Column) -> Column:
     blocks = F.regexp_extract_all(xml, F.lit(r"(?is)<(?:item|entry|url|sitemap)\b[^>]*>(.*?)</(?:item|entry|url|sitemap)>"), F.lit(1))
 
     def field(b: Column, names: str) -> Column:
-        return F.nullif(plain(F.regexp_replace(F.regexp_extract(b, rf"(?is)<(?:\w+:)?(?:{names})\b[^>]*>(.*?)</", 1), r"<!\[CDATA\[|\]\]>", "")), F.lit(""))
+        return F.nullif(plain(F.regexp_replace(F.regexp_extract(b, rf"(?is)<(?:\w+:)?(?:{names})\b[^>]*(?<!/)>(.*?)</", 1), r"<!\[CDATA\[|\]\]>", "")), F.lit(""))
 
     link = lambda b: F.coalesce(field(b, "link|loc"), F.nullif(F.regexp_extract(b, r"(?is)<link[^>]*href\s*=\s*[\"']([^\"']*)", 1), F.lit("")))
     return F.transform(blocks, lambda b: F.struct(link(b).alias("url"), field(b, "pubDate|published|updated|lastmod|publication_date|date").alias("published"), field(b, "title").alias("title")))

@@ -73,14 +73,14 @@ def bfs_depth(edges: DataFrame, roots: DataFrame, max_depth: int = 10) -> DataFr
     return seen
 
 
-def communities(edges: DataFrame, rounds: int = 8) -> DataFrame:
+def communities(edges: DataFrame, rounds: int = 12) -> DataFrame:
     """(node, community) by weighted label propagation; ties go to the least label, so runs repeat."""
     e = settle(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     label = settle(e.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("community")))
     for i in range(rounds):
         votes = e.join(label, e.dst == label.node).groupBy("src", "community").agg(F.sum("weight").alias("w"))
         best = votes.groupBy("src").agg(F.min_by("community", F.struct(-F.col("w"), "community")).alias("best"))
-        odd = F.xxhash64("node").bitwiseAND(F.lit(1)) == i % 2  # half of the nodes move at a time, else pairs swap for ever
+        odd = F.xxhash64("node", F.lit(i)).bitwiseAND(F.lit(1)) == 1  # half of the nodes move at a time, else pairs swap for ever
         label = settle(label.join(best, label.node == best.src, "left").select("node", F.when(odd, F.coalesce("best", "community")).otherwise(F.col("community")).alias("community")))
     return label
 
