@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import io
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -16,14 +19,26 @@ _shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder all executors share, from spark.checkpoint.dir; a temporary one, removed at exit, only where that is unset (tests)."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
-        place = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
+        local = tempfile.mkdtemp(prefix="corpusmill-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        place = "file://" + local
         spark.conf.set("spark.checkpoint.dir", place)
     return place
 
 
+def write_shared(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a file into the shared folder; its full path."""
+    place = f"{shared_dir(spark).rstrip('/')}/{name}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data))
+    out.close()
+    return place
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise once and cut the lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
@@ -48,12 +63,12 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(sc.applicationId)
     root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="corpusmill-ship-"), "corpusmill_pkg.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, dirs, files in os.walk(root):
             dirs[:] = [d for d in dirs if d != "__pycache__"]
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     z.write(full, os.path.join("corpusmill", os.path.relpath(full, root)))
-    sc.addPyFile(target)
+    sc.addPyFile(write_shared(spark, f"corpusmill-{sc.applicationId}.zip", packed.getvalue()))
