@@ -23,12 +23,12 @@ TRAIN_ROWS = 6_000
 
 # Very common words by language.
 COMMON_WORDS = {
-    "en": "the a an and or but of to in on for with at by from as is are was were be been it its this that these those i my me we our you your he she they not no so if than then when which who has have had do does did will can all one more very after before because while",
-    "de": "der die das den dem des ein eine einen einem einer und oder aber von zu zum zur in im an am auf für mit bei aus nach vor als ist sind war waren wird wie es er sie wir ich mein meine uns unsere nicht kein keine so auch schon noch weil dass hat habe haben seit bis durch über unter genau",
-    "fr": "le la les l un une des du de d et ou mais à au aux en dans sur pour par avec sans ce cette ces il elle je j mon ma mes nous notre vous que qu qui ne pas plus est sont était a ont été se s comme car après avant depuis tout tous très même",
-    "es": "el la los las lo un una unos unas y o pero de del a al en con por para sin sobre es son era fue se su sus mi me nos que no sí más muy como porque desde hasta después antes hace este esta estos ya todo todos yo le",
-    "pt": "o a os as um uma uns umas e ou mas de do da dos das em no na nos nas com por para sem sobre é são era foi se seu sua meu minha que não mais muito como porque desde até depois antes este esta já todo todos eu lhe ao à",
-    "ru": "и в во не на я с со что он она оно они как а то все это так его но да ты к у же вы за бы по только ее мне было вот от меня из о об до для мы при уже или если после очень",
+    "en": "the a and or but of to in on for with at by from as is was it its this that i my we not has had when after than",
+    "de": "der die das den dem des ein eine und oder von zu im in am auf für mit bei aus nach ist war es ich wir nicht hat seit als",
+    "fr": "le la les un une des du de et ou à au en dans sur pour par avec ce il je ma ne pas est que qui a nous après",
+    "es": "el la los las un una y o de del a al en con por para sin es se su mi me que no más muy como desde lo",
+    "pt": "o a os as um uma e ou de do da em no na com por para sem é se meu que não mais muito como desde ao foi",
+    "ru": "и в во не на я с что он она как а это но да у же за по из о от мы при или очень так до",
 }
 KOREAN_ENDINGS = "은|는|이|가|을|를|에|에서|도|의|로|으로|와|과|만|째|고|요|다|서|던|해"
 _SPACE = r"[\s\x{a0}\x{3000}]+"
@@ -148,7 +148,7 @@ def weak_labels(x: np.ndarray) -> np.ndarray:
     """1 junk, 0 prose, -1 undecided, by rules on the statistics."""
     f = {n: x[:, i] for i, n in enumerate(FEATURES)}
     words, common, letters, sentences = f["n_words"], f["common_word_share"], f["letter_ratio"], f["sentence_line_share"]
-    prose = (words >= 5) & (common >= 0.15) & (letters > 0.75) & (sentences > 0.6)
+    prose = (words >= 4) & (common >= 0.05) & (letters > 0.75) & (sentences > 0.6) & (f["separator_ratio"] < 0.03)
     prose |= (words >= 1) & (words <= 6) & (letters > 0.6) & (f["longest_word"] <= 20) & (f["separator_ratio"] == 0) & (f["digit_ratio"] < 0.25) & (f["comma_rate"] < 0.5) & (f["n_lines"] == 1)
     junk = (words >= 1) & (f["digit_ratio"] > 0.3) & (words >= 2)
     junk |= (letters < 0.35) & (f["n_words"] >= 1)

@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.runtime import shared_dir, ship
+from corpusmill.runtime import ship, write_shared
 
 # The split pattern the vocabulary was made with.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -225,12 +225,7 @@ def publish_lexicon(spark: SparkSession, words: Iterable[str], vocabulary: str)
     ordered = sorted({w.encode() for w in words})
     data = Transducer.compile(ordered, [merge_word(w, ranks) for w in ordered]).to_bytes()
     name = f"lexicon-{xxhash.xxh3_64_hexdigest(data)}.bin"
-    place = f"{shared_dir(spark).rstrip('/')}/{name}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(place)
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
-    out.write(bytearray(data))
-    out.close()
-    spark.sparkContext.addFile(place)
+    spark.sparkContext.addFile(write_shared(spark, name, data))
     return name
 
 
