@@ -42,6 +42,8 @@ def _charset(name: str) -> list[str]:
 READ_AS = ("latin-1", "cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8-r", "cp866")
 CHARS = {n: _charset(n) for n in READ_AS}
 TO_BYTES = {n: {ord(c): b for b, c in reversed(list(enumerate(chars)))} for n, chars in CHARS.items()}
+#: Characters to the Latin-1 character of their byte; those that the charset lacks to one that has none.
+AS_LATIN = {n: {**{b: "\ufffe" for b in range(0x80, 0x100)}, **{c: chr(b) for c, b in t.items() if c > 0x7F}} for n, t in TO_BYTES.items()}
 #: Really another charset than the one it was read in, other than UTF-8.
 SINGLE = (("cp1252", "cp1251"), ("latin-1", "cp1251"), ("cp1252", "koi8-r"), ("latin-1", "koi8-r"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp1251", "cp866"), ("cp1252", "euc-kr"), ("cp1252", "cp949"))
 CHAINS: tuple[tuple[tuple[str, str], ...], ...] = tuple(((n, "utf-8"),) for n in READ_AS) + tuple(
@@ -94,15 +96,12 @@ def _steps(text: str, chain: tuple[tuple[str, str], ...]) -> str:
                 return text
             text = new
             continue
-        table = TO_BYTES[read]
+        table = AS_LATIN[read]
 
         def fix(m: re.Match[str], table=table, real=real) -> str:
-            raw = [table.get(ord(c)) for c in m[0]]
-            if None in raw:
-                return m[0]
             try:
-                new = bytes(raw).decode(real)
-            except UnicodeDecodeError:
+                new = m[0].translate(table).encode("latin-1").decode(real)
+            except UnicodeError:
                 return m[0]
             return new if _PLAUSIBLE.fullmatch(new) else m[0]
 
