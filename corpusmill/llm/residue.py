@@ -167,18 +167,62 @@ def shingles(words: list[str], n: int = SHINGLE_WORDS) -> np.ndarray:
     m = len(words) - n + 1
     out = h[:m] * _MULT[0]
     for j in range(1, n):
-        out ^= (h[j : j + m] + _MULT[j]) * _MULT[j]
-        out ^= out >> np.uint64(31)
-        out *= _MULT[0]
+        out = _join(out, h[j : j + m], j)
     return np.unique(out)
 
 
 def simhash(features: np.ndarray) -> int:
-    """The 64-bit fingerprint of distinct hashes, signed; 0 for none."""
-    if not len(features):
-        return 0
-    ones = np.unpackbits(features.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones >= len(features), bitorder="little").view(np.int64)[0])
+    """The 64-bit fingerprint of hashes, signed; 0 for none."""
+    return int(_fingerprints(features, np.array([0]))[0]) if len(features) else 0
+
+
+def _fingerprints(features: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Fingerprints of the groups of hashes that begin at starts, none of them empty."""
+    bits = np.unpackbits(features.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+    size = np.diff(np.concatenate([starts, [len(features)]]))
+    return np.packbits(2 * ones >= size[:, None], axis=1, bitorder="little").view(np.int64)[:, 0]
+
+
+def batch_fingerprints(texts: list[list[str]], n: int = SHINGLE_WORDS, chunk: int = 200_000) -> list[int]:
+    """simhash over the word n-grams of each text, all texts of a batch together; 0 for texts without words."""
+    out = [0] * len(texts)
+    at, flat, sizes = [], [], []
+
+    def flush() -> None:
+        if not at:
+            return
+        h = np.array(flat, np.uint64)
+        size = np.array(sizes)
+        first = np.concatenate([[0], np.cumsum(size)[:-1]])
+        span = np.minimum(size, n)  # shorter texts are one shingle
+        grams = size - span + 1
+        starts = np.concatenate([[0], np.cumsum(grams)[:-1]])
+        pos = np.arange(grams.sum()) - np.repeat(starts, grams) + np.repeat(first, grams)
+        width = np.repeat(span, grams)
+        acc = h[pos] * _MULT[0]
+        for j in range(1, n):
+            use = np.nonzero(width > j)[0]
+            acc[use] = _join(acc[use], h[pos[use] + j], j)
+        for i, f in zip(at, _fingerprints(acc, starts).tolist(), strict=True):
+            out[i] = f
+        at.clear(), flat.clear(), sizes.clear()
+
+    for i, words in enumerate(texts):
+        if words:
+            at.append(i)
+            flat.extend(map(_word_hash, words))
+            sizes.append(len(words))
+            if len(flat) >= chunk:
+                flush()
+    flush()
+    return out
+
+
+def _join(acc: np.ndarray, h: np.ndarray, j: int) -> np.ndarray:
+    acc = acc ^ (h + _MULT[j]) * _MULT[j]
+    acc ^= acc >> np.uint64(31)
+    return acc * _MULT[0]
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -211,7 +255,7 @@ def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id"
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = shared.value
         for b in batches:
-            rows = []
+            rows, texts = [], []
             for title, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 slot = has_slot(title) or has_slot(body)
                 residue, words = False, []
@@ -221,8 +265,10 @@ def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id"
                     residue = residue_text(lines)
                     words = normal_words(" ".join(lines))
                 joined = " ".join(words)
-                rows.append((slot, residue, xxhash.xxh3_64_intdigest(joined) - (1 << 63) if words else None, simhash(shingles(words)), len(words), joined))
+                texts.append(words)
+                rows.append((slot, residue, xxhash.xxh3_64_intdigest(joined) - (1 << 63) if words else None, None, len(words), joined))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            cols[3] = batch_fingerprints(texts)
             kinds = [pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.string()][: 6 if with_text else 5]
             names = [id_col, "slot", "residue", "class", "simhash", "n_words", "own"][: 7 if with_text else 6]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=False))], names=names)

@@ -10,7 +10,7 @@ from corpusmill.llm.encoding import CHARS, Dictionaries, garbled_fields, repair,
 from corpusmill.llm.langid import LanguageModels, document_languages, label_language, wrong_languages
 from corpusmill.llm.pagebody import body_lines, is_link_text, main_bodies, read_page
 from corpusmill.llm.repeated import frequent_lines, repeated_lines, without_repeated_lines
-from corpusmill.llm.residue import has_slot, jaccard, page_classes, residue_pages, residue_text, shingles, simhash, table_keys, without_residue
+from corpusmill.llm.residue import batch_fingerprints, has_slot, jaccard, page_classes, residue_pages, residue_text, shingles, simhash, table_keys, without_residue
 
 SAMPLES = {
     "en": ["The council approved the plan for the bridge after a long debate on Tuesday evening.", "Residents waited outside while the museum presented its report about the old mill."] * 4,
@@ -173,6 +173,13 @@ def test_labels_spread_through_components(spark):
     assert got == near and 4 not in got
 
 
+def test_batch_fingerprints_match_single_ones():
+    rng = random.Random(13)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(rng.choice([0, 1, 4, 5, 6, 90]))] for _ in range(120)]  # no n-gram twice
+    assert batch_fingerprints(texts, chunk=300) == [simhash(shingles(t)) for t in texts]
+    assert batch_fingerprints([]) == []
+
+
 def test_table_keys_lose_no_pair():
     rng = random.Random(3)
     for _ in range(200):
