@@ -13,6 +13,7 @@ from corpusmill.operators.serving import centroids, cosine
 from corpusmill.plans.bindings import ANA, ART, EMOTIONS, ENT, analysis, articles, entities, r6, registry
 from corpusmill.plans.insight_queries import _SER, EPU, SCO, SECTORS, _volumes, scored, text_col
 from corpusmill.plans.relational_queries import R
+from corpusmill.plans.serving_queries import _PR
 from corpusmill.runtime import settle, ship
 from corpusmill.sources.tables import table, with_columns_present
 
@@ -635,7 +636,7 @@ def ea1_trajectory(spark, d):
     return x.groupBy("entity").agg(F.round(F.coalesce(F.regr_slope("rank", "i"), F.lit(0.0)), 8).alias("slope"), r6(F.stddev_pop("rank") / (F.avg("rank") + 1e-10), "cv"))
 
 
-@query()
+@query(f"with {ART}, x as (select article_id, topic, source, ts from art where ts is not null and topic <> '-1' and source is not null), ed as (select a.source as src, b.source as dst, cast(count(*) as double) as weight from x a join x b on a.topic = b.topic and a.source <> b.source and a.ts < b.ts and epoch(b.ts) - epoch(a.ts) <= 86400 group by all), {_PR} select node as source, round(rank, 6) as rank from r10")
 def nf5_info_flow(spark, d):
     """Flow of topics between sources within a day, and the sources' rank in it."""
     from corpusmill.operators.relational import range_join
@@ -643,7 +644,7 @@ def nf5_info_flow(spark, d):
     x = articles(spark, d).where("ts is not null and topic <> '-1' and source is not null").select("article_id", "topic", "source", "ts")
     j = range_join(x, x, "topic", "ts", 24).where("a.source <> b.source and a.ts < b.ts")
     e = settle(j.groupBy(F.col("a.source").alias("src"), F.col("b.source").alias("dst")).agg(F.count("*").cast("double").alias("weight")))
-    return graph.pagerank(e, rounds=20).select(F.col("node").alias("source"), r6("rank", "rank"))
+    return graph.pagerank(e, rounds=10).select(F.col("node").alias("source"), r6("rank", "rank"))
 
 
 @query()

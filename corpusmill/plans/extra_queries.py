@@ -12,7 +12,7 @@ from corpusmill.operators.insights import cooccurrence
 from corpusmill.operators.serving import cosine
 from corpusmill.plans.bindings import ANA, ART, ENT, analysis, articles, entities, r6, registry
 from corpusmill.plans.series_queries import _pairs, _series
-from corpusmill.plans.serving_queries import _EDGES, IDX, _index
+from corpusmill.plans.serving_queries import _EDGES, _PR, IDX, _index
 from corpusmill.runtime import settle
 from corpusmill.sources.tables import table
 
@@ -104,13 +104,13 @@ def silhouette(spark, d):
     return spark.createDataFrame([(float(ClusteringEvaluator().evaluate(v)),)], "silhouette double")
 
 
-@query()
+@query(f"with x as (select source as src, lead(source) over (partition by reviewer_id order by doc_id) as dst from documents where reviewer_id is not null and source is not null), ed as (select src, dst, cast(1 as double) as weight from x where dst is not null and src <> dst), {_PR} select node, round(rank, 6) as rank from r10")
 def pagerank_multi(spark, d):
     """Unweighted rank on a directed graph with parallel edges: readers who move on to another source's shop."""
     docs = table(spark, d, "documents").where("reviewer_id is not null and source is not null").select("reviewer_id", "source", "doc_id")
     nxt = F.lead("source").over(W.partitionBy("reviewer_id").orderBy("doc_id"))
     e = settle(docs.select(F.col("source").alias("src"), nxt.alias("dst")).where("dst is not null and src <> dst").withColumn("weight", F.lit(1.0)))
-    return graph.pagerank(e, rounds=20).select("node", r6("rank", "rank"))
+    return graph.pagerank(e, rounds=10).select("node", r6("rank", "rank"))
 
 
 @query(

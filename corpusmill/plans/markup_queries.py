@@ -39,7 +39,7 @@ def html_title(spark, d):
     return _pages(spark, d).select("article_id", M.html_title(F.col("html")).alias("title"), M.html_date(F.col("html")).alias("published"), M.html_author(F.col("html")).alias("author"))
 
 
-@query()
+@query(f"with {ART} select article_id, array_to_string(list_filter(list_transform(string_split(coalesce(body, ''), chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))), lambda x: x <> ''), chr(10) || chr(10)) as body from art where url is not null and source is not null")
 def html_css_body(spark, d):
     return _pages(spark, d).select("article_id", M.html_body(F.col("html")).alias("body"))
 

@@ -65,9 +65,8 @@ def tokenize_other(spark, d):
     return articles(spark, d).select("article_id", F.array_join(c, " ").alias("words"), F.size(c).cast("bigint").alias("n"))
 
 
-@query()
+@query(f"with {ART}, s as (select article_id, list_filter(string_split(regexp_replace(coalesce(body, ''), '([.!?。！？])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x) <> '') as s from art) select article_id, cast(unnest(generate_series(0, len(s) - 1)) as integer) as i, unnest(s) as sentence from s where len(s) > 0")
 def sentence_split(spark, d):
-    """Split behind sentence ends; SQL's regular expressions have no look-behind."""
     return articles(spark, d).select("article_id", F.posexplode(X.sentences(F.col("body"))).alias("i", "sentence"))
 
 

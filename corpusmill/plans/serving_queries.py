@@ -164,7 +164,8 @@ def _edges(spark, d):
     return graph.undirected(cooccurrence(entities(spark, d), least=2))
 
 
-_PR = "lk as (select src, dst, weight / sum(weight) over (partition by src) as p from ed), nd as (select src as node from ed group by src), nn as (select count(*) as n from nd), r0 as (select node, 1 / n as rank from nd, nn)" + "".join(
+# ten rounds on ed(src, dst, weight)
+_PR = "es as (select src, dst, sum(weight) as weight from ed group by all), lk as (select src, dst, weight / sum(weight) over (partition by src) as p from es), nd as (select src as node from es union select dst from es), nn as (select count(*) as n from nd), r0 as (select node, 1 / n as rank from nd, nn)" + "".join(
     f", g{i} as (select nd.node, coalesce(s.got, 0) as got from nd left join (select dst, sum(p * rank) as got from lk join r{i - 1} on src = node group by dst) s on s.dst = nd.node), r{i} as (select node, 0.15 / n + 0.85 * (got + (select 1 - sum(got) from g{i}) / n) as rank from g{i}, nn)" for i in range(1, 11)
 )
 
