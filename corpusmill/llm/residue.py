@@ -2,12 +2,12 @@
 
 Rules label what can be trusted: open template slots anywhere, and pages whose own text is nothing
 but slots, filler, an error message or a demand for scripts. The labels then spread to near-duplicate
-pages: own texts are reduced to classes of equal text (digits folded) with a 64-bit SimHash of their
-five-word shingles, the classes are laid out in partitioned tables (all pairs of six blocks of the
-fingerprint), classes that share a table entry with a labelled class are verified by Hamming distance
-and by the similarity of their shingles, and the labels follow these links until no class is added,
-i.e. through the connected components of the labelled classes. Only the frontier of newly labelled
-classes, one row for each distinct text, is joined with the tables in each round.
+pages: own texts are reduced to classes of equal text (digits folded), a class's keys are the smallest
+hashes of its five-word shingles, as many as leave no room for a similarity of 0.8 to a class without
+any of them (a prefix filter, so no pair is lost), classes that share a key with a labelled class are
+verified by the similarity of their shingles, and the labels follow these links until no class is
+added, i.e. through the connected components of the labelled classes. Only the keys of the frontier of
+newly labelled classes are joined with those of the pages in each round.
 """
 
 from __future__ import annotations
@@ -27,8 +27,7 @@ from corpusmill.runtime import checked_broadcast, settle, ship
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-#: Differing bits up to which two classes are compared; with six blocks at least two are equal then.
-HAMMING = 4
+#: Blocks of a fingerprint's table keys; up to four differing bits leave at least two of six equal.
 BLOCKS = 6
 #: Own texts of more words aren't judged by the rules for error pages.
 ERROR_PAGE_WORDS = 40
@@ -187,26 +186,52 @@ def _fingerprints(features: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def batch_fingerprints(texts: list[list[str]], n: int = SHINGLE_WORDS, chunk: int = 200_000) -> list[int]:
     """simhash over the word n-grams of each text, all texts of a batch together; 0 for texts without words."""
     out = [0] * len(texts)
+    for at, grams, starts in _grams(texts, n, chunk):
+        for i, f in zip(at, _fingerprints(grams, starts).tolist(), strict=True):
+            out[i] = f
+    return out
+
+
+def batch_prefixes(texts: list[list[str]], n: int = SHINGLE_WORDS, chunk: int = 200_000) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The number of distinct shingles of each text, and the smallest of them that are its keys.
+
+    Two texts at SIMILARITY have at least that share of the larger one's shingles in common, so the
+    smallest common one is among the size - ceil(SIMILARITY * size) + 1 smallest of both.
+    """
+    size = np.zeros(len(texts), np.int32)
+    keys = [np.zeros(0, np.int64)] * len(texts)
+    for at, grams, starts in _grams(texts, n, chunk):
+        group = np.repeat(np.arange(len(at)), np.diff(np.concatenate([starts, [len(grams)]])))
+        order = np.lexsort((grams, group))
+        grams = grams[order]
+        new = np.concatenate([[True], (grams[1:] != grams[:-1]) | (group[1:] != group[:-1])])
+        grams, group = grams[new], group[new]
+        found = np.bincount(group, minlength=len(at))
+        size[at] = found
+        first = np.cumsum(found) - found
+        for i, a, k in zip(at, first.tolist(), (found - np.ceil(SIMILARITY * found - 1e-9).astype(np.int64) + 1).tolist(), strict=True):
+            keys[i] = grams[a : a + k].view(np.int64)
+    return size, keys
+
+
+def _grams(texts: list[list[str]], n: int, chunk: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """(texts, hashes of their word n-grams in turn, where each text's begin) of parts of a batch; texts without words are left out."""
     at, flat, sizes = [], [], []
 
-    def flush() -> None:
-        if not at:
-            return
+    def grams() -> tuple[list[int], np.ndarray, np.ndarray]:
         h = np.array(flat, np.uint64)
         size = np.array(sizes)
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
         span = np.minimum(size, n)  # shorter texts are one shingle
-        grams = size - span + 1
-        starts = np.concatenate([[0], np.cumsum(grams)[:-1]])
-        pos = np.arange(grams.sum()) - np.repeat(starts, grams) + np.repeat(first, grams)
-        width = np.repeat(span, grams)
+        count = size - span + 1
+        starts = np.concatenate([[0], np.cumsum(count)[:-1]])
+        pos = np.arange(count.sum()) - np.repeat(starts, count) + np.repeat(first, count)
+        width = np.repeat(span, count)
         acc = h[pos] * _MULT[0]
         for j in range(1, n):
             use = np.nonzero(width > j)[0]
             acc[use] = _join(acc[use], h[pos[use] + j], j)
-        for i, f in zip(at, _fingerprints(acc, starts).tolist(), strict=True):
-            out[i] = f
-        at.clear(), flat.clear(), sizes.clear()
+        return at, acc, starts
 
     for i, words in enumerate(texts):
         if words:
@@ -214,9 +239,10 @@ def batch_fingerprints(texts: list[list[str]], n: int = SHINGLE_WORDS, chunk: in
             flat.extend(map(_word_hash, words))
             sizes.append(len(words))
             if len(flat) >= chunk:
-                flush()
-    flush()
-    return out
+                yield grams()
+                at, flat, sizes = [], [], []
+    if at:
+        yield grams()
 
 
 def _join(acc: np.ndarray, h: np.ndarray, j: int) -> np.ndarray:
@@ -240,11 +266,11 @@ def table_keys(fingerprint: int) -> list[int]:
     return [k << 40 | parts[a] << 12 | parts[b] for k, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
 
 
-PAGE_SCHEMA = "slot boolean, residue boolean, class bigint, simhash bigint, n_words int"
+PAGE_SCHEMA = "slot boolean, residue boolean, class bigint, n_shingles int, prefix array<bigint>, n_words int"
 
 
 def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body", with_text: bool = False) -> DataFrame:
-    """(id, slot, residue, class, simhash, n_words[, own]) of each row; a narrow map over whole texts."""
+    """(id, slot, residue, class, n_shingles, prefix, n_words[, own]) of each row; a narrow map over whole texts."""
     from corpusmill.llm.encoding import repair, train_dictionaries
     from corpusmill.llm.pagebody import read_page
 
@@ -266,23 +292,26 @@ def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id"
                     words = normal_words(" ".join(lines))
                 joined = " ".join(words)
                 texts.append(words)
-                rows.append((slot, residue, xxhash.xxh3_64_intdigest(joined) - (1 << 63) if words else None, None, len(words), joined))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            cols[3] = batch_fingerprints(texts)
-            kinds = [pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.string()][: 6 if with_text else 5]
-            names = [id_col, "slot", "residue", "class", "simhash", "n_words", "own"][: 7 if with_text else 6]
+                rows.append((slot, residue, xxhash.xxh3_64_intdigest(joined) - (1 << 63) if words else None, None, None, len(words), joined))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            cols[3], cols[4] = batch_prefixes(texts)
+            kinds = [pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.string()][: 7 if with_text else 6]
+            names = [id_col, "slot", "residue", "class", "n_shingles", "prefix", "n_words", "own"][: 8 if with_text else 7]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=False))], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, title_col, body_col).mapInArrow(run, f"`{id_col}` {kind}, {PAGE_SCHEMA}" + (", own string" if with_text else ""))
 
 
-def _tables(classes: DataFrame) -> DataFrame:
-    f = F.col("simhash")
-    edges = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
-    parts = [F.shiftrightunsigned(f, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)) for i in range(BLOCKS)]
-    keys = [F.lit(k << 40).bitwiseOR(F.shiftleft(parts[a], 12)).bitwiseOR(parts[b]) for k, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
-    return classes.select("class", "simhash", F.explode(F.array(*keys)).alias("key"))
+def _class_prefixes(own: DataFrame) -> DataFrame:
+    """(class, n_shingles, prefix) of (class, own)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, keys = batch_prefixes([x.split() for x in b.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(keys, pa.list_(pa.int64()))], names=["class", "n_shingles", "prefix"])
+
+    return own.select("class", "own").mapInArrow(run, "class bigint, n_shingles int, prefix array<bigint>")
 
 
 def spread_labels(pages: DataFrame, texts, max_rounds: int = 20) -> DataFrame:
@@ -291,14 +320,17 @@ def spread_labels(pages: DataFrame, texts, max_rounds: int = 20) -> DataFrame:
     pages: settled page_classes; texts: a function that gives (class, own) of the classes in a
     DataFrame. The rounds end when no class is added.
     """
-    classes = pages.where("class is not null").groupBy("class").agg(F.first("simhash").alias("simhash"), F.max("residue").alias("residue"))
-    classes = settle(classes)
-    labelled = classes.where("residue").select("class", "simhash")
+    pages = pages.where("class is not null")
+    if "prefix" not in pages.columns:
+        pages = settle(pages.join(_class_prefixes(texts(pages.select("class").distinct())), "class"))
+    keyed = pages.select("class", "n_shingles", F.explode("prefix").alias("key"))
+    labelled = settle(pages.where("residue").select("class").distinct())
     frontier = labelled
     for _ in range(max_rounds):
-        near = _tables(frontier).select(F.col("key"), F.col("class").alias("from_class"), F.col("simhash").alias("from_simhash"))
-        open_classes = classes.join(checked_broadcast(labelled.select("class")), "class", "left_anti")
-        pairs = _tables(open_classes).join(checked_broadcast(near), "key").where(F.bit_count(F.col("simhash").bitwiseXOR(F.col("from_simhash"))) <= HAMMING).select("from_class", "class").distinct()
+        near = keyed.join(checked_broadcast(frontier), "class", "left_semi").select("key", F.col("class").alias("from_class"), F.col("n_shingles").alias("from_n")).distinct()
+        open_keys = keyed.join(checked_broadcast(labelled), "class", "left_anti")
+        alike = F.least("n_shingles", "from_n") >= SIMILARITY * F.greatest("n_shingles", "from_n") - 1e-9
+        pairs = open_keys.join(checked_broadcast(near), "key").where(alike).select("from_class", "class").distinct()
         pairs = settle(pairs)
         if pairs.isEmpty():
             break
@@ -313,9 +345,9 @@ def spread_labels(pages: DataFrame, texts, max_rounds: int = 20) -> DataFrame:
         fresh = settle(joined.select("class", "own", "from_own").mapInArrow(similar, "class bigint").distinct())
         if fresh.isEmpty():
             break
-        frontier = classes.join(checked_broadcast(fresh), "class", "left_semi").select("class", "simhash")
+        frontier = fresh
         labelled = settle(labelled.union(frontier))
-    return labelled.select("class")
+    return labelled
 
 
 def residue_pages(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body") -> DataFrame:

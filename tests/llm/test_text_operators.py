@@ -173,6 +173,31 @@ def test_labels_spread_through_components(spark):
     assert got == near and 4 not in got
 
 
+def test_labels_reach_every_text_at_the_similarity(spark):
+    from corpusmill.llm.residue import SIMILARITY, spread_labels
+
+    rng = random.Random(21)
+    texts, labelled = {}, set()
+    for base in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([30, 100, 400]))]
+        labelled.add(len(texts))
+        texts[len(texts)] = words
+        for share in (0.005, 0.01, 0.015, 0.02, 0.022, 0.03):
+            near = words.copy()
+            for at in rng.sample(range(len(words)), max(1, round(share * len(words)))):
+                near[at] = f"n{rng.randrange(10**6)}"
+            texts[len(texts)] = near
+    sets = {i: shingles(t) for i, t in texts.items()}
+    links = [(i, j) for i in texts for j in texts if i != j and jaccard(sets[i], sets[j]) >= SIMILARITY]
+    want = set(labelled)
+    while more := {j for i, j in links if i in want} - want:
+        want |= more
+    pages = spark.createDataFrame([(i, i in labelled) for i in texts], "class bigint, residue boolean")
+    own = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "class bigint, own string")
+    got = {r[0] for r in spread_labels(pages, lambda wanted: own.join(wanted, "class", "left_semi")).collect()}
+    assert got == want and len(labelled) < len(want) < len(texts)
+
+
 def test_batch_fingerprints_match_single_ones():
     rng = random.Random(13)
     texts = [[f"w{rng.randrange(10**6)}" for _ in range(rng.choice([0, 1, 4, 5, 6, 90]))] for _ in range(120)]  # no n-gram twice
