@@ -314,7 +314,7 @@ def _class_prefixes(own: DataFrame) -> DataFrame:
     return own.select("class", "own").mapInArrow(run, "class bigint, n_shingles int, prefix array<bigint>")
 
 
-def spread_labels(pages: DataFrame, texts, max_rounds: int = 20) -> DataFrame:
+def spread_labels(pages: DataFrame, texts) -> DataFrame:
     """(class) of all classes in the components of labelled ones.
 
     pages: settled page_classes; texts: a function that gives (class, own) of the classes in a
@@ -326,7 +326,7 @@ def spread_labels(pages: DataFrame, texts, max_rounds: int = 20) -> DataFrame:
     keyed = pages.select("class", "n_shingles", F.explode("prefix").alias("key"))
     labelled = settle(pages.where("residue").select("class").distinct())
     frontier = labelled
-    for _ in range(max_rounds):
+    while True:  # each round labels at least one more class
         near = keyed.join(checked_broadcast(frontier), "class", "left_semi").select("key", F.col("class").alias("from_class"), F.col("n_shingles").alias("from_n")).distinct()
         open_keys = keyed.join(checked_broadcast(labelled), "class", "left_anti")
         alike = F.least("n_shingles", "from_n") >= SIMILARITY * F.greatest("n_shingles", "from_n") - 1e-9

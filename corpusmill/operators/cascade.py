@@ -40,7 +40,7 @@ def fingerprint_pairs(rows: DataFrame, bits: int = BITS) -> DataFrame:
     return a.join(b, (F.col("a.k") == F.col("b.k")) & (dist <= bits) & (F.col("a.seq") < F.col("b.seq"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), dist.alias("bits")).distinct()
 
 
-def dedup_cascade(rows: DataFrame, max_rounds: int = 30) -> DataFrame:
+def dedup_cascade(rows: DataFrame) -> DataFrame:
     """(id, is_duplicate, reason, match_id, level, confidence) of rows (id, seq, url_key, title_key, simhash).
 
     seq orders the arrival and is unique. Rows with simhash 0 aren't kept for matching titles.
@@ -57,15 +57,18 @@ def dedup_cascade(rows: DataFrame, max_rounds: int = 30) -> DataFrame:
     pairs = settle(titles.union(prints).join(seqs, "a"))
     kept = settle(rest.join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_anti").select("id"))
     gone = kept.limit(0).withColumn("match_id", F.lit(None).cast(kept.schema["id"].dataType)).withColumn("level", F.lit(0)).withColumn("confidence", F.lit(0.0))
-    for _ in range(max_rounds):
+    while True:  # the earliest open article waits for none, so each round settles at least one
         settled = kept.select("id").union(gone.select("id"))
         open_pairs = pairs.join(settled.withColumnRenamed("id", "b"), "b", "left_anti")
         if open_pairs.isEmpty():
             break
-        state = open_pairs.join(kept.withColumn("k", F.lit(True)).withColumnRenamed("id", "a"), "a", "left").join(gone.select(F.col("id").alias("a"), F.lit(True).alias("g")), "a", "left")
+        # semi and anti joins, as the estimated sizes of outer joins would multiply from round to round
+        state = open_pairs.join(kept.select(F.col("id").alias("a")), "a", "left_semi").withColumn("state", F.lit("kept"))
+        state = state.union(open_pairs.join(gone.select(F.col("id").alias("a")), "a", "left_semi").withColumn("state", F.lit("gone")))
+        state = state.union(open_pairs.join(settled.withColumnRenamed("id", "a"), "a", "left_anti").withColumn("state", F.lit("open")))
         best = state.groupBy("b").agg(
-            F.min(F.when(F.col("k"), F.struct("level", "a_seq", "a", "confidence"))).alias("hit"),
-            F.min(F.when(F.col("k").isNull() & F.col("g").isNull(), F.struct("level", "a_seq"))).alias("wait"),
+            F.min(F.when(F.col("state") == "kept", F.struct("level", "a_seq", "a", "confidence"))).alias("hit"),
+            F.min(F.when(F.col("state") == "open", F.struct("level", "a_seq"))).alias("wait"),
         )
         ready = (F.col("wait").isNull()) | (F.col("hit").isNotNull() & (F.struct("hit.level", "hit.a_seq") < F.col("wait")))
         done = settle(best.where(ready))

@@ -198,6 +198,20 @@ def test_labels_reach_every_text_at_the_similarity(spark):
     assert got == want and len(labelled) < len(want) < len(texts)
 
 
+def test_labels_follow_long_chains(spark):
+    from corpusmill.llm.residue import spread_labels
+
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    own = {}
+    for i in range(24):  # one link to the next, none to those after it
+        own[i] = " ".join(words)
+        words = [*words[5:], *(f"w{rng.randrange(10**6)}" for _ in range(5))]
+    pages = spark.createDataFrame([(i, i == 0) for i in own], "class bigint, residue boolean")
+    texts = spark.createDataFrame(list(own.items()), "class bigint, own string")
+    assert spread_labels(pages, lambda wanted: texts.join(wanted, "class", "left_semi")).count() == 24
+
+
 def test_batch_fingerprints_match_single_ones():
     rng = random.Random(13)
     texts = [[f"w{rng.randrange(10**6)}" for _ in range(rng.choice([0, 1, 4, 5, 6, 90]))] for _ in range(120)]  # no n-gram twice

@@ -216,6 +216,18 @@ def test_cascade_is_sequential(spark):
     assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
 
 
+def test_cascade_resolves_long_chains(spark):
+    rng = random.Random(12)
+    chain = [rng.getrandbits(63)]
+    while len(chain) < 32:  # each is close to the one before it only
+        f = chain[-1] ^ sum(1 << b for b in rng.sample(range(63), 9))
+        if all(bin(f ^ x).count("1") > 10 for x in chain[:-1]):
+            chain.append(f)
+    rows = spark.createDataFrame([(f"d{i:02d}", i, f"u{i}", "", f) for i, f in enumerate(chain)], "id string, seq long, url_key string, title_key string, simhash long")
+    got = {r.id: r.match_id for r in cascade.dedup_cascade(rows).collect()}
+    assert got == {f"d{i:02d}": f"d{i - 1:02d}" if i % 2 else None for i in range(32)}
+
+
 def test_fingerprint_pairs_lose_nothing(spark):
     rng = random.Random(8)
     fs = [rng.getrandbits(63) for _ in range(40)]
