@@ -83,6 +83,13 @@ FUNCTION_WORDS = frozenset(
     "the a of to in and for with at by on from was were is are that it has had said der die das den dem des ein eine einen und von zu zum zur im in für mit bei aus nach vor auf hat war wird wurde le la les un une des du de et à au aux en dans sur pour par avec a ont l d s qu que qui el los las y con por del al se su para lo en o os as um uma e do da dos das no na nos nas ao".split()
 )
 
+# The words of standard filler, and those of which each of its sentences has one.
+LOREM_WORDS = frozenset(
+    "lorem ipsum dolor sit amet consectetur consectetuer adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
+)
+_MARKS = (*_CUES, "dolor", "veniam", "cupidatat")
+_ASCII_MARKS = tuple(m for m in _MARKS if m.isascii())
+
 
 def has_slot(text: str | None) -> bool:
     return bool(text) and _SLOT_MARK.search(text) is not None and SLOT.search(text) is not None
@@ -111,7 +118,7 @@ def residue_text(lines: list[str]) -> bool:
         return False
     if any(line_residue(x) for x in lines[:2]) and (all(line_residue(x) for x in lines) or sum(len(_WORDS.findall(x)) for x in lines) <= ERROR_PAGE_WORDS):
         return True
-    return _one_sentence(lines) or _no_language(lines)
+    return _one_sentence(lines) or _no_language(lines) or _cue_sentences(lines)
 
 
 def _one_sentence(lines: list[str]) -> bool:
@@ -145,6 +152,26 @@ def _no_language(lines: list[str]) -> bool:
     return n >= 8 and n >= 9 * other and len(seen) >= 3
 
 
+def _cue_sentence(sentence: str) -> bool:
+    """Whether cues are a good part of a sentence, or nearly all its words are standard filler."""
+    low = sentence.casefold()
+    if sum(len(c) * low.count(c) for c in _CUES if c in low) * 5 >= len(low) or (LOST in low and len(low) < 140 and _CUE.search(low) is not None):
+        return True
+    words = _WORDS.findall(low)
+    return len(words) >= 4 and sum(w in LOREM_WORDS for w in words) * 4 >= 3 * len(words)
+
+
+def _cue_sentences(lines: list[str]) -> bool:
+    """Whether cue sentences are more than half of all, or at least a third and the first of all, however long the lines are."""
+    sentences = [s for x in lines for s in _SENTENCE.split(x) if s]
+    text = "\n".join(sentences[: (len(sentences) + 1) // 2]).casefold()  # one of these is a cue sentence then
+    marks = _ASCII_MARKS if text.isascii() else _MARKS
+    if not any(c in text for c in marks) and not (LOST in text and _CUE.search(text)):
+        return False
+    found = [_cue_sentence(s) for s in sentences]
+    return 2 * sum(found) > len(found) or (found[0] and 3 * sum(found) >= len(found))
+
+
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -192,26 +219,26 @@ def batch_fingerprints(texts: list[list[str]], n: int = SHINGLE_WORDS, chunk: in
     return out
 
 
-def batch_prefixes(texts: list[list[str]], n: int = SHINGLE_WORDS, chunk: int = 200_000) -> tuple[np.ndarray, list[np.ndarray]]:
+def batch_prefixes(texts: list[list[str]], n: int = SHINGLE_WORDS, chunk: int = 200_000) -> tuple[np.ndarray, pa.ListArray]:
     """The number of distinct shingles of each text, and the smallest of them that are its keys.
 
     Two texts at SIMILARITY have at least that share of the larger one's shingles in common, so the
-    smallest common one is among the size - ceil(SIMILARITY * size) + 1 smallest of both.
+    smallest common one is among the size - ceil(SIMILARITY * size) + 1 smallest of both. Of the
+    hashes 44 bits are used, so that one sort takes a part of the batch.
     """
     size = np.zeros(len(texts), np.int32)
-    keys = [np.zeros(0, np.int64)] * len(texts)
+    n_keys, keys = np.zeros(len(texts) + 1, np.int32), [np.zeros(0, np.int64)]
     for at, grams, starts in _grams(texts, n, chunk):
-        group = np.repeat(np.arange(len(at)), np.diff(np.concatenate([starts, [len(grams)]])))
-        order = np.lexsort((grams, group))
-        grams = grams[order]
-        new = np.concatenate([[True], (grams[1:] != grams[:-1]) | (group[1:] != group[:-1])])
-        grams, group = grams[new], group[new]
+        group = np.repeat(np.arange(len(at), dtype=np.uint64), np.diff(np.concatenate([starts, [len(grams)]])))
+        both = np.sort(group << np.uint64(44) | grams >> np.uint64(20))
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+        group = (both >> np.uint64(44)).astype(np.int64)
         found = np.bincount(group, minlength=len(at))
-        size[at] = found
-        first = np.cumsum(found) - found
-        for i, a, k in zip(at, first.tolist(), (found - np.ceil(SIMILARITY * found - 1e-9).astype(np.int64) + 1).tolist(), strict=True):
-            keys[i] = grams[a : a + k].view(np.int64)
-    return size, keys
+        used = found - np.ceil(SIMILARITY * found - 1e-9).astype(np.int64) + 1
+        rank = np.arange(len(both)) - np.repeat(np.cumsum(found) - found, found)
+        keys.append((both[rank < used[group]] & np.uint64((1 << 44) - 1)).view(np.int64))
+        size[at], n_keys[np.array(at) + 1] = found, used
+    return size, pa.ListArray.from_arrays(np.cumsum(n_keys, dtype=np.int32), np.concatenate(keys))
 
 
 def _grams(texts: list[list[str]], n: int, chunk: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
@@ -297,7 +324,7 @@ def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id"
             cols[3], cols[4] = batch_prefixes(texts)
             kinds = [pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.string()][: 7 if with_text else 6]
             names = [id_col, "slot", "residue", "class", "n_shingles", "prefix", "n_words", "own"][: 8 if with_text else 7]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=False))], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=False))], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, title_col, body_col).mapInArrow(run, f"`{id_col}` {kind}, {PAGE_SCHEMA}" + (", own string" if with_text else ""))
@@ -309,7 +336,7 @@ def _class_prefixes(own: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             size, keys = batch_prefixes([x.split() for x in b.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(keys, pa.list_(pa.int64()))], names=["class", "n_shingles", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), keys], names=["class", "n_shingles", "prefix"])
 
     return own.select("class", "own").mapInArrow(run, "class bigint, n_shingles int, prefix array<bigint>")
 

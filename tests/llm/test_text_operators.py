@@ -136,6 +136,15 @@ def test_slots_and_residue_rules():
     assert not residue_text([SAMPLES["en"][0] + " Page not found was the riddle."]) and not residue_text([])
 
 
+def test_long_residue_lines_are_found():
+    lorem = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua."
+    more = " Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat. Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur."
+    error = "Page not found on this server. The address may have changed or the page was removed by its editors some time ago. You can go back to the front page, use the search field above or look through the archive of the last years. Something went wrong? Write to the editors and tell them which link brought you to this place."
+    assert residue_text([lorem]) and residue_text([lorem + more]) and residue_text([error]) and len(error) > 240
+    assert not residue_text([" ".join(SAMPLES["en"]) + " Something went wrong, they said."])
+    assert not residue_text(["Residents were access denied to the old mill on Tuesday evening after the council had approved the plan for the bridge, and the museum kept its report about the water to itself."])
+
+
 def test_near_copies_of_residue_are_found(spark, samples):
     base = "Page not found. " + " ".join(f"word{i % 7}{chr(97 + i % 23)} stands in the text of this notice for the reader" for i in range(60))
     words = base.split()
