@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,12 +63,12 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
     return d.crossJoin(F.broadcast(n)).select("node", "degree", (F.col("degree") / F.col("m")).alias("centrality"))
 
 
-def bfs_depth(edges: DataFrame, roots: DataFrame, max_depth: int = 10) -> DataFrame:
-    """(node, depth) of everything reachable from the roots along the edges."""
+def bfs_depth(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(node, depth) of everything reachable from the roots along the edges, in at most max_depth steps if given."""
     seen = settle(roots.select("node").distinct().withColumn("depth", F.lit(0)))
     frontier = seen
-    for depth in range(1, max_depth + 1):
-        frontier = settle(edges.join(frontier, edges.src == frontier.node).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
+        frontier = settle(edges.join(frontier, edges.src == frontier.node, "left_semi").select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
         seen = settle(seen.union(frontier))

@@ -11,7 +11,7 @@ from corpusmill.operators import graph, kernels, scorers
 from corpusmill.operators.insights import cooccurrence
 from corpusmill.operators.serving import cosine
 from corpusmill.plans.bindings import ANA, ART, ENT, analysis, articles, entities, r6, registry
-from corpusmill.plans.series_queries import _pairs, _series
+from corpusmill.plans.series_queries import _pairs, _series, granger_bonf
 from corpusmill.plans.serving_queries import _EDGES, _PR, IDX, _index
 from corpusmill.runtime import settle
 from corpusmill.sources.tables import table
@@ -155,6 +155,16 @@ def pcmci(spark, d):
     return r.where("p < 0.05").orderBy("p", "a", "b").limit(20)
 
 
+@query()
+def causal_depth_topics(spark, d):
+    """Longest of the shortest chains from each topic over all links of granger_bonf and pcmci, however long; 0 for topics without links."""
+    e = settle(granger_bonf(spark, d).select("a", "b").union(pcmci(spark, d).select("a", "b")).distinct())
+    topics = settle(_series(spark, d).select("topic").distinct())
+    at = lambda c: F.struct(F.col("topic").alias("root"), F.col(c).alias("at"))
+    links = e.crossJoin(topics).select(at("a").alias("src"), at("b").alias("dst"))
+    return graph.bfs_depth(links, topics.select(at("topic").alias("node"))).groupBy(F.col("node.root").alias("topic")).agg(F.max("depth").alias("depth"))
+
+
 @query()
 def ts_arima(spark, d):
     """Autoregressive order (0 to 3) with or without one difference, by AIC of least-squares fits."""

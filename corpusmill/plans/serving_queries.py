@@ -189,7 +189,7 @@ def centrality(spark, d):
 def causal_depth(spark, d):
     """Depth in an acyclic graph of keys from node 1, at most ten steps."""
     e = table(spark, d, "lineitem").where("l_quantity = 50 and l_discount = 0.1 and l_suppkey < l_partkey % 100 + 1").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 100 + 1).alias("dst")).distinct()
-    return graph.bfs_depth(e, spark.range(1, 2).toDF("node"))
+    return graph.bfs_depth(e, spark.range(1, 2).toDF("node"), max_depth=10)
 
 
 @query()

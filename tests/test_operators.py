@@ -259,6 +259,13 @@ def test_graph_algorithms(spark):
     assert com["x"] == com["y"] != com["a"]
 
 
+def test_depth_has_no_limit(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(13)] + [(5, 2)], "src long, dst long")
+    root = spark.createDataFrame([(0,)], "node long")
+    assert {r.node: r.depth for r in graph.bfs_depth(e, root).collect()} == {i: i for i in range(14)}
+    assert graph.bfs_depth(e, root, max_depth=3).count() == 4
+
+
 def test_search(spark):
     docs = spark.createDataFrame([(1, "The café near the bridge"), (2, "Bridge and museum, bridge"), (3, None), (4, ""), (2, "bridge")], "id int, text string")
     i = serving.inverted_index(docs, "id", ["text"])
