@@ -649,18 +649,25 @@ def nf5_info_flow(spark, d):
 
 @query()
 def hdbscan(spark, d):
-    """Dense groups of vectors by mutual reachability: components of the links shorter than the median core distance of each label."""
+    """Dense groups of vectors by mutual reachability: components of the links shorter than the median core distance of each label.
+
+    Equal vectors are one node with their number as weight: they count as neighbours of each other for
+    the core distance (the fifth neighbour) and in its median, and are in one cluster if dense at all.
+    """
     from corpusmill.operators.serving import l2_distance
 
     v = table(spark, d, "embeddings").select("vec_id", "label", "embedding")
-    a, b = v.toDF("a", "label", "ea"), v.toDF("b", "label", "eb")
-    near = a.join(b, "label").where("a <> b").select("label", "a", "b", l2_distance(F.col("ea"), F.col("eb")).alias("dist"))
-    near = settle(near.withColumn("rk", F.row_number().over(W.partitionBy("a").orderBy("dist", "b"))).where("rk <= 10"))
-    core = near.where("rk = 5").select(F.col("a").alias("node"), "label", F.col("dist").alias("core"))
-    cut = core.groupBy("label").agg(F.percentile("core", F.lit(0.5)).alias("cut"))
-    reach = near.join(core.select(F.col("node").alias("a"), F.col("core").alias("ca")), "a").join(core.select(F.col("node").alias("b"), F.col("core").alias("cb")), "b").join(F.broadcast(cut), "label").where(F.greatest("dist", "ca", "cb") <= F.col("cut"))
-    c = graph.components(reach.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    return v.select("vec_id").join(c.select(F.col("node").alias("vec_id"), "component"), "vec_id", "left").select("vec_id", F.coalesce("component", F.lit(-1)).alias("cluster"))
+    one = settle(v.where("vec_id is not null and label is not null and embedding is not null").groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count_distinct("vec_id").alias("n")))
+    a, b = one.toDF("label", "ea", "a", "na"), one.toDF("label", "eb", "b", "nb")
+    pairs = a.join(b, "label").select("label", "a", "na", "b", "nb", l2_distance(F.col("ea"), F.col("eb")).alias("dist"))
+    near = F.sum(F.when(F.col("a") == F.col("b"), F.col("nb") - 1).otherwise(F.col("nb"))).over(W.partitionBy("label", "a").orderBy("dist", "b"))
+    core = settle(pairs.withColumn("near", near).where("near >= 5").groupBy("label", "a", "na").agg(F.min("dist").alias("core")))
+    cut = core.groupBy("label").agg(F.percentile("core", F.lit(0.5), F.col("na")).alias("cut"))
+    dense = core.join(F.broadcast(cut), "label").where("core <= cut")
+    links = pairs.where("a < b or a = b and na > 1").join(dense.select("label", "a", "cut"), ["label", "a"]).join(dense.select("label", F.col("a").alias("b")), ["label", "b"]).where("dist <= cut")
+    c = graph.components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    found = one.join(c, "node").select("label", "embedding", "component")
+    return v.join(found, ["label", "embedding"], "left").select("vec_id", F.coalesce("component", F.lit(-1)).alias("cluster"))
 
 
 @query(f"with {ANA} select sentiment_label, count(*) as n, round(avg(score), 6) as mean from ana where sentiment_label is not null group by sentiment_label")

@@ -266,6 +266,16 @@ def test_depth_has_no_limit(spark):
     assert graph.bfs_depth(e, root, max_depth=3).count() == 4
 
 
+def test_copies_of_vectors_form_one_cluster(spark, tmp_path):
+    from corpusmill.plans.detail_queries import hdbscan
+
+    rows = [(i, "x", [0.0, 0.0]) for i in range(12)] + [(20 + i, "x", [0.1, 0.0]) for i in range(12)]
+    rows += [(50 + i, "x", [5.0 + 0.5 * i, 5.0 + i]) for i in range(30)] + [(99, "x", None), (100, None, [0.0, 0.0])]
+    spark.createDataFrame(rows, "vec_id long, label string, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = dict(map(tuple, hdbscan(spark, str(tmp_path)).collect()))
+    assert len(got) == len(rows) and {got[i] for i in (*range(12), *range(20, 32))} == {0} and got[99] == got[100] == -1
+
+
 def test_search(spark):
     docs = spark.createDataFrame([(1, "The café near the bridge"), (2, "Bridge and museum, bridge"), (3, None), (4, ""), (2, "bridge")], "id int, text string")
     i = serving.inverted_index(docs, "id", ["text"])
