@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 
 
 def burst_states(counts: np.ndarray, base: float = 2.0, gamma: float = 1.0, most: int = 10) -> np.ndarray:
@@ -326,6 +327,73 @@ def nmf(v: np.ndarray, k: int, rounds: int = 200, seed: int = 42) -> tuple[np.nd
     return w, h
 
 
+def document_factors(terms, k: int = 20, rounds: int = 200, inner: int = 30, least: float = 1e-4, seed: int = 42):
+    """(id, topic_id): the strongest of k non-negative factors of each row of the sparse matrix (id, term, score), which must be settled.
+
+    The factors of the terms (k by the vocabulary) are on the driver; each round solves the rows' factors
+    for them where the rows are and returns sums, until the error falls by less than `least` of the first.
+    """
+    from pyspark.sql import functions as F
+
+    from corpusmill.runtime import settle, ship
+
+    spark = terms.sparkSession
+    ship(spark)
+    names = [r[0] for r in terms.select("term").distinct().orderBy("term").collect()]
+    place = F.broadcast(spark.createDataFrame(list(zip(names, range(len(names)), strict=True)), "term string, at int"))
+    rows = terms.join(place, "term").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "score"))).alias("v"))
+    rows = settle(rows.select("id", F.col("v.at").alias("at"), F.col("v.score").alias("score")))
+    kind = rows.schema["id"].dataType.simpleString()
+    n = rows.count()
+    k = min(k, n - 1)
+    if k < 2:
+        return spark.createDataFrame([], f"id {kind}, topic_id int")
+    m = len(names)
+    h = np.random.default_rng(seed).random((k, m)) + 0.1
+
+    def solve(p, h):
+        size = p["at"].map(len).to_numpy()
+        row, at, val = np.repeat(np.arange(len(p)), size), np.concatenate(p["at"].to_list()), np.concatenate(p["score"].to_list())
+        vh = np.column_stack([np.bincount(row, val * x[at], len(p)) for x in h])
+        w, hh = np.full(vh.shape, 0.1), h @ h.T
+        for _ in range(inner):
+            w *= vh / (w @ hh + 1e-12)
+        return w, row, at, val, vh
+
+    def round_of(h):
+        shared = spark.sparkContext.broadcast(h)
+
+        def run(parts):
+            wv, ww, error = np.zeros((k, m)), np.zeros((k, k)), 0.0
+            for p in parts:
+                w, row, at, val, vh = solve(p, shared.value)
+                wv += [np.bincount(at, val * x[row], m) for x in w.T]
+                ww += w.T @ w
+                error += val @ val - 2 * (w * vh).sum() + ((w @ (shared.value @ shared.value.T)) * w).sum()
+            yield pd.DataFrame({"wv": [wv.tobytes()], "ww": [ww.tobytes()], "error": [error]})
+
+        found = sorted(rows.mapInPandas(run, "wv binary, ww binary, error double").collect(), key=lambda r: (r.error, r.wv))
+        shared.unpersist()
+        return sum(np.frombuffer(r.wv).reshape(k, m) for r in found), sum(np.frombuffer(r.ww).reshape(k, k) for r in found), sum(r.error for r in found)
+
+    first = last = None
+    for _ in range(rounds):
+        wv, ww, error = round_of(h)
+        if first is not None and last - error < least * first:
+            break
+        first, last = first or error, error
+        for _ in range(inner):
+            h *= wv / (ww @ h + 1e-12)
+    done = spark.sparkContext.broadcast(h)
+
+    def label(parts):
+        for p in parts:
+            if len(p):
+                yield pd.DataFrame({"id": p["id"], "topic_id": solve(p, done.value)[0].argmax(1).astype("int32")})
+
+    return rows.mapInPandas(label, f"id {kind}, topic_id int")
+
+
 def forecast(y: np.ndarray, ahead: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(fit, low, high) for the series and `ahead` more days: straight trend, weekday effects and a band of two residual deviations.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -610,6 +613,51 @@ def kl_sym_frames(spark, d):
     return a.join(b, "w").where("a < b").groupBy("a", "b").agg(r6(F.sum(F.col("pa") * F.ln(F.col("pa") / F.col("pb")) + F.col("pb") * F.ln(F.col("pb") / F.col("pa"))) / 2, "kl"))
 
 
+# Seed words of five frames.
+FRAME_SEEDS = {
+    "economic": "economy gdp inflation market trade fiscal monetary budget growth recession unemployment investment stock bond currency export import",
+    "security": "military defense security weapon nuclear army threat terrorism intelligence missile conflict war peace treaty sanctions alliance",
+    "human_interest": "people community family health education social welfare poverty rights culture victim survivor refugee humanitarian crisis",
+    "political": "government president parliament election party policy legislation democracy opposition vote reform minister congress senate diplomatic",
+    "scientific": "research science technology data study discovery innovation ai climate energy environment experiment analysis evidence",
+}
+
+
+def frame_divergence(docs, vocabulary: int = 5000):
+    """(topic, a, b, kl, strength, masses of five frames in a and b) of the TF-IDF distributions of each two sources of a topic; docs: (topic, source, text) in any language."""
+    stop = StopWordsRemover.loadDefaultStopWords("english")
+    w = docs.where("topic is not null and source is not null").select("topic", "source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))).alias("w")).where(~F.col("w").isin(stop))
+    tf = settle(w.groupBy("topic", "source", "w").agg(F.count("*").alias("tf")))
+    n = tf.groupBy("topic").agg(F.count_distinct("source").alias("n")).where("n >= 2")
+    v = tf.groupBy("topic", "w").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).join(F.broadcast(n), "topic").where("df <= 0.95 * n")
+    v = v.withColumn("r", F.row_number().over(W.partitionBy("topic").orderBy(F.desc("total"), "w"))).where(F.col("r") <= vocabulary)
+    x = tf.join(v, ["topic", "w"]).select("topic", "source", "w", (F.col("tf") * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("s"))
+    frames = {k: s.split() for k, s in FRAME_SEEDS.items()}
+
+    def run(p):
+        m = p.pivot(index="source", columns="w", values="s").fillna(0).sort_index()
+        q = m.to_numpy()
+        q = q / q.sum(1, keepdims=True) + 1e-10
+        q /= q.sum(1, keepdims=True)
+        log = np.log(q)
+        cross = q @ log.T
+        own = np.diag(cross)
+        kl = (own[:, None] + own[None, :] - cross - cross.T) / 2
+        mass = {k: q[:, m.columns.isin(s)].sum(1) for k, s in frames.items()}
+        i, j = np.triu_indices(len(q), 1)
+        out = {"topic": p["topic"].iloc[0], "a": m.index[i], "b": m.index[j], "kl": kl[i, j].round(6), "strength": np.minimum(1, kl[i, j] / 10).round(6)}
+        return pd.DataFrame(out | {f"{k}_{s}": x[at].round(6) for k, x in mass.items() for s, at in (("a", i), ("b", j))})
+
+    return x.groupBy("topic").applyInPandas(run, "topic string, a string, b string, kl double, strength double, " + ", ".join(f"{k}_{s} double" for k in frames for s in "ab"))
+
+
+@query()
+def kl_frames_topics(spark, d):
+    """The divergence of sources by topic over all articles and the topic's vocabulary, with frames."""
+    ship(spark)
+    return frame_divergence(articles(spark, d).select("topic", "source", text_col().alias("text")))
+
+
 @query(f"with {ART}, {ENT}, e as (select strftime(a.day, '%G-W%V') as week, a.entity as x, b.entity as y, count(*) as w from ent a join ent b on a.article_id = b.article_id and a.entity < b.entity where a.day is not null and b.day is not distinct from a.day group by all), n as (select week, count(distinct z) as n from (select week, x as z from e union all select week, y from e) group by week), m as (select week, count(*) as m from e group by week) select week, n as nodes, m as edges, round(2 * m / (n * (n - 1)), 6) as density, round(2 * m / n, 6) as degree from n join m using (week)")
 def net_evolution(spark, d):
     """Density and mean degree of the weekly entity graphs."""

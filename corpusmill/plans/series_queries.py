@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import kernels as K
 from corpusmill.operators.insights import calendar, daily_series
-from corpusmill.operators.serving import l2_distance
+from corpusmill.operators.serving import l2_distance, tfidf_top
 from corpusmill.plans.bindings import registry
 from corpusmill.plans.insight_queries import scored
 from corpusmill.runtime import settle, ship
@@ -234,18 +234,10 @@ def lda(spark, d):
 
 @query()
 def nmf(spark, d):
-    """Topics of the sources' word counts by non-negative factors; the matrix is sources by a bounded vocabulary."""
-    w = table(spark, d, "documents").where("text is not null").select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}"), F.lit(0))).alias("w"))
-    top = w.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(500).select("w")
-    counts = w.join(F.broadcast(top), "w").groupBy("source", "w").agg(F.count("*").alias("n"))
-    ship(spark)
-
-    def run(p):
-        m = p.pivot(index="source", columns="w", values="n").fillna(0).sort_index()
-        a, _ = K.nmf(np.log1p(m.to_numpy()), min(5, len(m)))
-        return pd.DataFrame({"source": m.index, "topic_id": a.argmax(1)})
-
-    return counts.where("source is not null").withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, "source string, topic_id int")
+    """Topics of the documents by non-negative factors of their TF-IDF vectors (one- and two-word terms, 10,000 at most); documents without a term have none."""
+    docs = table(spark, d, "documents").where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
+    terms = tfidf_top(docs.withColumn("g", F.lit("")), "doc_id", "text", "g", top=1 << 30)
+    return K.document_factors(settle(terms.select("id", "term", "score"))).select(F.col("id").alias("doc_id"), "topic_id")
 
 
 @query("with c as (select event_type, cast(ts as date) as day, count(*) as n from events group by all), b as (select min(day) as a, max(day) as z from c), g as (select e.event_type, x.day from (select distinct event_type from c) e cross join (select cast(unnest(generate_series(a, z, interval 1 day)) as date) as day from b) x) select g.event_type, cast(g.day as varchar) as day, coalesce(n, 0) as n, round(avg(coalesce(n, 0)) over (partition by g.event_type order by g.day rows between 13 preceding and current row), 6) as mean14 from g left join c using (event_type, day)")

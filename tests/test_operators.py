@@ -276,6 +276,33 @@ def test_copies_of_vectors_form_one_cluster(spark, tmp_path):
     assert len(got) == len(rows) and {got[i] for i in (*range(12), *range(20, 32))} == {0} and got[99] == got[100] == -1
 
 
+def test_frames_of_a_topic_in_any_language(spark):
+    from corpusmill.plans.detail_queries import frame_divergence
+
+    rows = [("t", "p", "market budget brücke"), ("t", "q", "army brücke treaty"), ("t", "r", "army lamp treaty"), ("u", "p", "alone")]
+    got = {(r.topic, r.a, r.b): r for r in frame_divergence(spark.createDataFrame(rows, "topic string, source string, text string")).collect()}
+    assert set(got) == {("t", "p", "q"), ("t", "p", "r"), ("t", "q", "r")}
+    idf = {1: math.log(4 / 2) + 1, 2: math.log(4 / 3) + 1}
+    s = [{"market": idf[1], "budget": idf[1], "brücke": idf[2]}, {"army": idf[2], "brücke": idf[2], "treaty": idf[2]}]
+    words = ["market", "budget", "brücke", "army", "treaty", "lamp"]
+    p, q = (np.array([x.get(w, 0) for w in words]) / sum(x.values()) + 1e-10 for x in s)
+    p, q = p / p.sum(), q / q.sum()
+    r = got["t", "p", "q"]
+    assert r.kl == pytest.approx(((p - q) * np.log(p / q)).sum() / 2, abs=1e-5) and r.economic_a == pytest.approx(p[:2].sum(), abs=1e-5) and r.security_b == pytest.approx(q[3:5].sum(), abs=1e-5)
+
+
+def test_every_document_gets_a_factor(spark, tmp_path):
+    from corpusmill.plans.series_queries import nmf
+
+    rng = random.Random(5)
+    kinds = [["lamp", "light", "bulb", "switch"], ["tent", "rain", "camp", "pole"], ["чай", "чашка", "вода", "чайник"]]
+    rows = [(i, "shop", " ".join(rng.choices(kinds[i % 3], k=6))) for i in range(60)] + [(99, "shop", None)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = dict(map(tuple, nmf(spark, str(tmp_path)).collect()))
+    groups = [{got[i] for i in range(k, 60, 3)} for k in range(3)]
+    assert set(got) == set(range(60)) and not groups[0] & groups[1] and not groups[0] & groups[2] and not groups[1] & groups[2]
+
+
 def test_search(spark):
     docs = spark.createDataFrame([(1, "The café near the bridge"), (2, "Bridge and museum, bridge"), (3, None), (4, ""), (2, "bridge")], "id int, text string")
     i = serving.inverted_index(docs, "id", ["text"])
