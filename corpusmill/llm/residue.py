@@ -154,6 +154,8 @@ def _no_language(lines: list[str]) -> bool:
 
 def _cue_sentence(sentence: str) -> bool:
     """Whether cues are a good part of a sentence, or nearly all its words are standard filler."""
+    if sentence.count(LOST) * 4 > len(sentence):
+        return False
     low = sentence.casefold()
     if sum(len(c) * low.count(c) for c in _CUES if c in low) * 5 >= len(low) or (LOST in low and len(low) < 140 and _CUE.search(low) is not None):
         return True

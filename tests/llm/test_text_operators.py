@@ -142,6 +142,7 @@ def test_long_residue_lines_are_found():
     error = "Page not found on this server. The address may have changed or the page was removed by its editors some time ago. You can go back to the front page, use the search field above or look through the archive of the last years. Something went wrong? Write to the editors and tell them which link brought you to this place."
     assert residue_text([lorem]) and residue_text([lorem + more]) and residue_text([error]) and len(error) > 240
     assert not residue_text([" ".join(SAMPLES["en"]) + " Something went wrong, they said."])
+    assert not residue_text(["�� ��� Podol ���� �� �� ��� �� ����. �� ��� ���. �� ��� Doker �� ���� �� ���� ����."])
     assert not residue_text(["Residents were access denied to the old mill on Tuesday evening after the council had approved the plan for the bridge, and the museum kept its report about the water to itself."])
 
 
