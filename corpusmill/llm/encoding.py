@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ STEP_COST = {"utf-8": 1, "euc-kr": 2, "cp949": 2}
 OTHER_COST = 8
 #: Reference text kept of each language, in bytes.
 DICTIONARY_BYTES = 64_000
+#: Reference texts that may be collected.
+REFERENCE_ROWS = 100_000
 LOST = "�"
 
 
@@ -145,16 +148,30 @@ class Dictionaries:
         return min((len(every[n].compress(raw)) for n in languages or every), default=len(raw))
 
 
+def reference_texts(samples: DataFrame, language_col: str = "language", text_col: str = "text", max_rows: int = REFERENCE_ROWS) -> list[tuple[str, str]]:
+    """(language, text) of the clean reference texts, sorted; more than max_rows are an error, as a part of them would leave languages out."""
+    rows = samples.where(F.col(text_col).isNotNull() & F.col(language_col).isNotNull()).select(language_col, text_col).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} reference texts: give a sample that holds every language")
+    return sorted((r[0], r[1]) for r in rows)
+
+
 def train_dictionaries(samples: DataFrame, language_col: str = "language", text_col: str = "text", limit_bytes: int = DICTIONARY_BYTES) -> Dictionaries:
-    """From clean reference texts, limit_bytes of each language (a bounded, fixed table)."""
-    rows = samples.where(F.col(text_col).isNotNull() & F.col(language_col).isNotNull()).select(language_col, text_col).orderBy(language_col, text_col).limit(100_000).collect()
-    texts: dict[str, bytearray] = {}
-    for language, text in rows:
-        t = texts.setdefault(language, bytearray())
-        raw = (text + "\n").encode()
-        if len(t) + len(raw) <= limit_bytes:
-            t += raw
-    return Dictionaries({k: bytes(v) for k, v in texts.items() if len(v) >= 8})
+    """From clean reference texts; of a language with more than limit_bytes, texts chosen by their hashes up to that size."""
+    by_language: dict[str, list[bytes]] = {}
+    for language, text in reference_texts(samples, language_col, text_col):
+        by_language.setdefault(language, []).append((text + "\n").encode())
+    out = {}
+    for language, texts in by_language.items():
+        if sum(map(len, texts)) > limit_bytes:
+            size, chosen = 0, []
+            for raw in sorted(texts, key=xxhash.xxh3_64_intdigest):
+                if size + len(raw) <= limit_bytes:
+                    size += len(raw)
+                    chosen.append(raw)
+            texts = sorted(chosen)
+        out[language] = b"".join(texts)
+    return Dictionaries({k: v for k, v in out.items() if len(v) >= 8})
 
 
 def script(text: str) -> str:

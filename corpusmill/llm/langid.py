@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.encoding import Dictionaries, repair, train_dictionaries
-from corpusmill.llm.pagebody import LOST, is_ended, read_page
+from corpusmill.llm.encoding import reference_texts
+from corpusmill.llm.pagebody import LOST, is_ended, read_pages
 from corpusmill.runtime import ship
 
 ORDER = 5
@@ -299,30 +299,25 @@ class LanguageModels:
 
 
 def train_models(samples: DataFrame, language_col: str = "language", text_col: str = "text") -> LanguageModels:
-    """From the fixed table of clean reference texts."""
-    rows = samples.where(F.col(text_col).isNotNull() & F.col(language_col).isNotNull()).select(language_col, text_col).orderBy(language_col, text_col).limit(100_000).collect()
+    """From the fixed table of clean reference texts (reference_texts bounds it)."""
     texts: dict[str, list[str]] = {}
-    for language, text in rows:
+    for language, text in reference_texts(samples, language_col, text_col):
         texts.setdefault(language, []).append(text)
     return LanguageModels(texts)
 
 
-LANGUAGE_SCHEMA = "line_no int, lang_code string, confidence double, letters int"
-
-
-def own_languages(bodies: list[str | None], models: LanguageModels, dictionaries: Dictionaries) -> Iterator[tuple[int, int, str, float, int]]:
-    """(index of the body, line number or 0 for the whole, code, confidence, letters).
+def own_languages(pages: Iterable[tuple[list[int] | None, list[bool] | None, list[str] | None, bool]], models: LanguageModels) -> Iterator[tuple[int, int, str, float, int]]:
+    """(index of the page, line number or 0 for the whole, code, confidence, letters) of pages as read_pages gives them.
 
     Whole texts that are in none of the languages and lines that are too short or in none have no row.
     """
     at: list[tuple[int, int]] = []
     lines: list[str] = []
-    for i, body in enumerate(bodies):
-        if body:
-            page = read_page(repair(body, dictionaries)[0])
-            if not page.residue:
-                at += [(i, k + 1) for k in page.own]
-                lines += [page.lines[k] for k in page.own]
+    for i, (numbers, kept, text, residue) in enumerate(pages):
+        if numbers and not residue:
+            own = [k for k, x in enumerate(kept) if x]
+            at += [(i, numbers[k] + 1) for k in own]
+            lines += [text[k] for k in own]
     if not lines:
         return
     sums, letters = models.line_scores(lines)
@@ -353,47 +348,51 @@ def own_languages(bodies: list[str | None], models: LanguageModels, dictionaries
             yield int(docs[d]), at[j][1], models.languages[code[j]], float(sure[j]), int(letters[j])
 
 
-def document_languages(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", body_col: str = "body", carry: tuple[str, ...] = ()) -> DataFrame:
+def _pages(docs: DataFrame, samples: DataFrame, body_col: str, source_col: str | None, carry: tuple[str, ...]) -> DataFrame:
+    pages = read_pages(docs, samples, body_col, source_col if source_col in docs.columns else None, carry, with_text=True)
+    return pages.select(*(f"c{i}" for i in range(len(carry))), "at", "kept", "text", "residue")
+
+
+def document_languages(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", body_col: str = "body", carry: tuple[str, ...] = (), source_col: str | None = "source") -> DataFrame:
     """(id, carried columns, line_no, lang_code, confidence, letters): line_no 0 for each document, else for each judged line of its own text.
 
     Null and empty bodies, pages with residue instead of a text and texts in none of the languages
-    have no rows. Repeated rows stay; other columns aren't read. A narrow map over whole texts.
+    have no rows. Repeated rows stay; other columns aren't read.
     """
     from pyspark.sql import types as T
 
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast((train_models(samples), train_dictionaries(samples)))
+    shared = spark.sparkContext.broadcast(train_models(samples))
     names = [id_col, *carry]
+    n = len(names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, dictionaries = shared.value
         for b in batches:
-            found = list(own_languages(b.column(len(names)).to_pylist(), models, dictionaries))
+            found = list(own_languages(zip(*(b.column(n + i).to_pylist() for i in range(4)), strict=True), shared.value))
             cols = list(zip(*found, strict=True)) if found else [[]] * 5
             take = pa.array(cols[0], pa.int64())
             kinds = (pa.int32(), pa.string(), pa.float64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(len(names))), *(pa.array(c, k) for c, k in zip(cols[1:], kinds, strict=True))], names=[*names, "line_no", "lang_code", "confidence", "letters"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(n)), *(pa.array(c, k) for c, k in zip(cols[1:], kinds, strict=True))], names=[*names, "line_no", "lang_code", "confidence", "letters"])
 
     extra = [T.StructField("line_no", T.IntegerType()), T.StructField("lang_code", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("letters", T.IntegerType())]
-    return docs.select(*names, body_col).mapInArrow(run, T.StructType([*(docs.schema[n] for n in names), *extra]))
+    return _pages(docs, samples, body_col, source_col, tuple(names)).mapInArrow(run, T.StructType([*(docs.schema[c] for c in names), *extra]))
 
 
-def wrong_languages(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", label_col: str = "language", body_col: str = "body") -> DataFrame:
+def wrong_languages(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", label_col: str = "language", body_col: str = "body", source_col: str | None = "source") -> DataFrame:
     """Distinct (id, line_no, lang_code): documents whose label is missing, unusable or wrong (line 0), and paragraphs in another language."""
     from pyspark.sql import types as T
 
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast((train_models(samples), train_dictionaries(samples)))
+    shared = spark.sparkContext.broadcast(train_models(samples))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, dictionaries = shared.value
         for b in batches:
             labels = b.column(1).to_pylist()
             rows, numbers, codes = [], [], []
             main = ""
-            for i, line, code, sure, _ in own_languages(b.column(2).to_pylist(), models, dictionaries):
+            for i, line, code, sure, _ in own_languages(zip(*(b.column(2 + k).to_pylist() for k in range(4)), strict=True), shared.value):
                 if line == 0:
                     main = code
                     case = label_language(labels[i]) != code
@@ -406,4 +405,4 @@ def wrong_languages(docs: DataFrame, samples: DataFrame, id_col: str = "article_
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(codes, pa.string())], names=[id_col, "line_no", "lang_code"])
 
     schema = T.StructType([docs.schema[id_col], T.StructField("line_no", T.IntegerType()), T.StructField("lang_code", T.StringType())])
-    return docs.select(id_col, label_col, body_col).mapInArrow(run, schema).distinct()
+    return _pages(docs, samples, body_col, source_col, (id_col, label_col)).mapInArrow(run, schema).distinct()

@@ -1,120 +1,61 @@
 """Main body of web pages whose text mixes it with menus, notices, teasers and footers.
 
-The method is composite text density. A page is read as a tree: the body, its sections (runs of lines
-between furniture) and their lines. Every node has its characters, its tags (one for each line and
-each separator within it, as the markup itself is gone), its link characters and its link tags; text
-counts as link text where it is navigation, a call or notice of the site, or anchor text, i.e. a
-headline without end. The density of a node is its characters per tag, adjusted by the share of link
-text. Sections whose densities sum highest start the main body; the least density on the path from
-there to the body is the threshold that other sections must reach. Within the kept sections a final
-check takes the lines themselves: link text inside goes, and short own lines (bylines, subheadings,
-lists, results), which have little density but no link text, stay.
+The method is composite text density. The markup is gone, so the tree is read from the lines: the
+body, its sections (runs of lines between link text) and their lines. A node has characters, tags
+(one for each line and each separator within it), link characters and link tags. What links mark in
+a page is found without any list of words: text is link text where its pattern (letter case and
+digits folded) comes back on many different pages of the same source, and where it is anchor text,
+i.e. a headline without end or a row of short items. The composite density of a node is its
+characters per tag, adjusted by the ratio of text to link text in it and in the body. The section
+whose lines' densities sum highest is the start of the main body; the least density on the path from
+it to the body is the threshold that sections must reach to belong to it. Unended lines at the end of
+a section that are neither items of a list nor as dense as the main section leave it.
+
+Bylines and subheadings come back in a source as furniture does, but hold another place: patterns of
+short texts that stand nearly always directly before the main body, directly after it or inside it
+are own text. These places are counted over all pages with the sections of a first reading; the
+second reading is final. All counts are by source and over all pages; they count different contexts
+(the longest line of the page), so copies of an article don't make its lines furniture.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm.encoding import Dictionaries, repair, train_dictionaries
-from corpusmill.llm.residue import line_residue, residue_text
-from corpusmill.runtime import ship
-
-# Menu words of news sites by language.
-MENU_WORDS = {
-    "en": ("home", "news", "sport", "sports", "business", "politics", "weather", "culture", "log in", "login", "sign in", "subscribe", "archive", "contact", "economy", "opinion", "science", "world", "video", "about us", "careers", "advertise", "help", "search", "menu"),
-    "de": ("startseite", "nachrichten", "sport", "wirtschaft", "politik", "wetter", "kultur", "anmelden", "abo", "archiv", "kontakt", "meinung", "wissen", "suche", "menü"),
-    "fr": ("accueil", "actualités", "sports", "sport", "économie", "politique", "météo", "culture", "connexion", "s’abonner", "s'abonner", "archives", "contact", "recherche", "menu"),
-    "es": ("inicio", "noticias", "deportes", "economía", "política", "el tiempo", "cultura", "entrar", "suscríbete", "hemeroteca", "contacto", "buscar", "menú"),
-    "pt": ("início", "notícias", "esportes", "economia", "política", "tempo", "cultura", "entrar", "assine", "acervo", "contato", "buscar", "menu"),
-    "ru": ("главная", "новости", "спорт", "экономика", "политика", "погода", "культура", "войти", "подписка", "архив", "контакты", "поиск", "меню"),
-    "ko": ("홈", "뉴스", "스포츠", "경제", "정치", "날씨", "문화", "로그인", "구독", "지난 기사", "문의", "검색", "메뉴"),
-}
-# How notices, calls and teasers of sites begin.
-OPENINGS = (
-    # consent
-    "we use cookies", "this site stores small files", "by continuing you agree", "your privacy", "manage consent",
-    "wir verwenden cookies", "diese seite speichert", "auswahl verwalten", "ihre privatsphäre",
-    "nous utilisons des cookies", "ce site dépose", "votre vie privée", "gérer le consentement", "gérer vos choix", "gérer les choix",
-    "usamos cookies", "este sitio guarda", "su privacidad", "gestionar permisos", "este site guarda", "a sua privacidade", "gerir permissões", "gerenciar permissões", "gerir consentimento", "gerir o consentimento",
-    "мы используем файлы cookie", "сайт хранит", "управление согласием", "конфиденциальность:",
-    "더 나은 이용을 위해 쿠키", "이 사이트는 기기에", "동의 관리", "개인정보:",
-    # comments
-    "please enable javascript to view", "bitte aktivieren sie javascript, um kommentare", "activez javascript pour voir", "active javascript para ver", "ative o javascript para ver", "включите javascript, чтобы увидеть", "включите javascript, чтобы видеть", "включите javascript, чтобы читать", "댓글을 보려면",
-    # sharing and liking
-    "share this", "share on", "like what you read", "artikel teilen", "beitrag teilen", "teilen:", "im netzwerk teilen", "gefällt ihnen der beitrag", "partager l’article", "partager sur", "cet article vous plaît", "compartir la noticia", "comparta en", "¿le gusta lo que lee", "compartilhe", "gostou do", "gostou da", "gostou?", "поделиться", "понравилось", "поделитесь", "기사가 좋으셨나요", "공유하기", "공유:", "기사 공유",
-    # sign-up
-    "sign up for the", "der morgenbrief von", "la lettre du matin de", "el boletín matinal de", "o boletim da manhã d", "утреннее письмо",
-    # legal
-    "©", "all rights reserved", "alle rechte vorbehalten", "tous droits réservés", "todos los derechos reservados", "reservados todos los derechos", "todos os direitos reservados", "все права защищены", "저작권자", "reproduction or redistribution", "vervielfältigung ohne", "toute diffusion", "la diffusion de ce contenu", "no se permite difundir", "não é permitido divulgar", "распространение без согласия",
-    # place on the page
-    "back to top", "nach oben", "haut de page", "volver arriba", "voltar ao topo", "наверх", "맨 위로",
-    "loading player", "video wird geladen", "chargement de la vidéo", "chargement du lecteur", "cargando el vídeo", "carregando o vídeo", "a carregar o vídeo", "загрузка видео", "видео загружается", "동영상을 불러오는", "영상 불러오는", "영상을 불러오는",
-    "»",
-)
-# What notices of sites have elsewhere in the line.
-INSIDE = (
-    "in your inbox", "im postfach:", "par courriel. votre adresse", "en su correo. escriba", "no seu e-mail.", "на почту. введите", "소식을 메일로", "아침 소식지",
-    "is not responsible for the content of external", "haftet nicht für inhalte fremder", "décline toute responsabilité pour les sites", "no responde del contenido de sitios", "não responde pelo conteúdo de sites", "não se responsabiliza pelo conteúdo de sites", "не отвечает за содержание чужих", "외부 사이트의 내용에 책임",
-    "동의 없이 이 내용을 배포", "무단 전재", "no part of", "may be reproduced without written permission", "– rss –", "- rss -",
-)
-# Whole lines.
-WHOLE = (
-    "advertisement", "anzeige", "werbung", "publicité", "publicidad", "publicidade", "реклама", "광고",
-    "most read", "meistgelesen", "les plus lus", "lo más leído", "mais lidas", "самое читаемое", "많이 본 기사",
-)
-# Words before a colon or dash that lead to another article or to tags.
-TEASERS = (
-    "read also", "related", "more on this topic", "see also", "lesen sie auch", "passend dazu", "mehr zum thema", "à lire aussi", "voir également", "sur le même sujet", "lea también", "relacionado", "más sobre el tema",
-    "leia também", "veja ainda", "mais sobre o assunto", "читайте также", "по теме", "ещё", "관련 기사", "함께 읽기", "이어지는 기사",
-    "tags", "schlagwörter", "mots-clés", "etiquetas", "assuntos", "метки", "태그",
-)
-# Counts that pages state about themselves.
-COUNTS = (
-    r"\d+ comments?", r"\d+ kommentare?", r"\d+ commentaires?", r"\d+ comentarios?", r"\d+ comentários?", r"комментариев: \d+", r"댓글 \d+개",
-    r"\d+ min\.? read", r"\d+ min\.? lesezeit", r"lecture ?: \d+ min", r"\d+ min de lectura", r"leitura de \d+ min", r"чтение: \d+ мин\.?", r"읽는 시간 \d+분",
-)
-
-LOST = "�"
-
-
-def _tolerant(text: str) -> str:
-    """A pattern for the text in which lost characters may stand for letters outside ASCII."""
-    return "".join(f"(?:{re.escape(c)}|{LOST}{{1,3}})" if c > "\x7f" and c.isalpha() else re.escape(c) for c in text)
-
-
-def _any_of(texts: Iterable[str]) -> str:
-    return "|".join(_tolerant(t) for t in sorted(texts, key=len, reverse=True))
+from corpusmill.llm.residue import LineSigns, has_slot, line_signs, residue_of_signs
+from corpusmill.runtime import checked_broadcast, settle, ship
 
+#: Different pages of a source on which a pattern stands before it counts as coming back, and their share of its pages.
+MIN_PAGES = 3
+MIN_SHARE = 0.003
+#: Letters from which an unended line is anchor text; subheadings are shorter. One Hangul syllable counts as three.
+ANCHOR_LETTERS = 36
+#: Shares of a pattern's places that make it own text: before, after or inside the body; and the share it may have elsewhere.
+BEFORE, AFTER, INSIDE, ELSEWHERE = 0.65, 0.8, 0.65, 0.02
 
-_MENU = _any_of({w for ws in MENU_WORDS.values() for w in ws})
-_IS_MENU = re.compile(rf"(?:{_MENU})(?:(?: ?[|·•>/,–—-] ?| )(?:{_MENU}))*")
-_OPENING = re.compile(_any_of(OPENINGS))
-_INSIDE = re.compile(_any_of(INSIDE))
-_WHOLE = re.compile(f"(?:{_any_of(WHOLE)})|(?:{'|'.join(COUNTS)})".replace("á", f"(?:á|{LOST}{{1,3}})"))
-_TEASER = re.compile(rf"(?:{_any_of(TEASERS)}) ?(?:[:–—-]|{LOST}{{1,3}} )")
-_PATH = re.compile(r"[^.!?>]{1,30}(?: > [^.!?>]{1,30})+")
-_TICKER = re.compile(rf"(?:\S+ -?\d+ ?(?:°|{LOST}{{1,2}}) ?[cf]? ?[|·]? ?){{2,}}")
+LOST = "�"
+_SEPARATORS = (" | ", " · ", " > ", " • ", " / ", " – ", " — ")
 _ENDS = frozenset(".!?…。！？:;")
 _CLOSERS = "\"”“»’'„)]� "
 _QUOTED = frozenset("\"“„«‘([")
-_NOTICE = re.compile(rf"(?:©|{LOST}{{1,3}}) ?(?:19|20)\d\d ")
-_TIMED = re.compile(r"\d{1,2}:\d\d \S+ \S+ \S")
+_TIMED = re.compile(r"\d{1,2}:\d\d \S|» ")
 _LIST_ITEM = re.compile(r"[•–—*-] \S|\d+[.)] \S+ \(\d|.* \d+ ?: ?\d+ ")
+_LABELLED = re.compile(r"[^:.!?]{2,30}?: ")
 _HANGUL = re.compile(r"[가-힣]")
-
-#: Letters from which an unended line is anchor text; subheadings are shorter. One Hangul syllable counts as three.
-ANCHOR_LETTERS = 36
-
-
-def _weight(line: str) -> int:
-    return len(line) + 2 * len(_HANGUL.findall(line))
+_DIGITS = re.compile(r"\d+")
+_WORDS = re.compile(r"[^\W\d_]+|0")
 
 
 def is_ended(line: str) -> bool:
@@ -122,56 +63,83 @@ def is_ended(line: str) -> bool:
     return line.rstrip(_CLOSERS)[-1:] in _ENDS or (line[0] in _QUOTED and line[-1] in _CLOSERS)
 
 
-@lru_cache(maxsize=60_000)
-def is_link_text(line: str) -> bool:
-    """Whether a line (white space collapsed) is navigation, a site's notice or call, or anchor text."""
-    low = line.casefold()
-    if len(low) <= 220 and line.count(LOST) * 4 <= len(line):
-        if _OPENING.match(low) or _WHOLE.fullmatch(low) or _TEASER.match(low):
-            return True
-        if any(x in low for x in INSIDE) or (LOST in low and _INSIDE.search(low)):
-            return True
-        if len(low) <= 160 and (_IS_MENU.fullmatch(low) or _TICKER.fullmatch(low)):
-            return True
-    if _NOTICE.match(low):
-        return True
-    if is_ended(line):
-        return False
-    if _TIMED.match(line) or _PATH.fullmatch(low):
-        return True
-    if line.count(" | ") >= 2 or line.count(" · ") >= 3:
-        return True
-    if line_residue(line):
-        return False
-    return _weight(line) >= ANCHOR_LETTERS and line.count(" ") >= 3 and not _LIST_ITEM.match(line)
+def pattern(line: str, ended: bool, tags: int) -> str:
+    """What a line has in common with those that differ in case, digits, the order of short items or what follows a label."""
+    low = _DIGITS.sub("0", line.casefold())
+    if ended or len(low) >= 160:
+        return low
+    if m := _LABELLED.match(low):
+        return m[0]
+    return " ".join(sorted(_WORDS.findall(low))) if tags >= 3 and len(low) < 120 else low
 
 
-@dataclass
-class Node:
-    """A line, a section or the body."""
-
-    chars: int = 0
-    tags: int = 0
-    link_chars: int = 0
-    link_tags: int = 0
-    lines: list[int] = field(default_factory=list)
-    density_sum: float = 0.0
-
-    def add(self, other: Node) -> None:
-        self.chars += other.chars
-        self.tags += other.tags
-        self.link_chars += other.link_chars
-        self.link_tags += other.link_tags
-        self.lines += other.lines
-
-    def density(self, body: Node) -> float:
-        """Characters per tag, times the logarithm of text against link text to a base that grows with the node's link share."""
-        if not self.chars:
-            return 0.0
-        plain = max(1, self.chars - self.link_chars)
-        base = math.log(self.chars / plain * self.link_chars + body.link_chars / max(1, body.chars) * self.chars + math.e)
-        ratio = self.chars / max(1, self.link_chars) * self.tags / max(1, self.link_tags)
-        return self.chars / max(1, self.tags) * math.log(max(ratio, 1.0)) / math.log(base + 1e-9) if base > 1 else self.chars / max(1, self.tags) * math.log(max(ratio, 1.0))
+@dataclass(frozen=True)
+class Line:
+    """key: hash of the pattern; kinds: ANCHOR, ITEM, ENDED, NAMED and what problem 5 sees in it."""
+
+    key: int
+    chars: int
+    tags: int
+    kinds: int
+    signs: LineSigns
+
+
+ENDED, ANCHOR, ITEM, FIXED, NAMED = 1, 2, 4, 8, 16
+
+
+@lru_cache(maxsize=60_000)
+def read_line(x: str) -> Line:
+    """Of a line with white space collapsed, not empty. FIXED: residue, never furniture; NAMED: may be a byline or subheading."""
+    found = [x.count(s) for s in _SEPARATORS]
+    tags = 1 + sum(found)
+    weight = len(x) if x.isascii() else len(x) + 2 * len(_HANGUL.findall(x))
+    ended = is_ended(x)
+    item = not ended and _LIST_ITEM.match(x) is not None
+    signs = line_signs(x)
+    anchor = not ended and not signs.residue and (sum(found[:5]) >= 2 or _TIMED.match(x) is not None or (weight >= ANCHOR_LETTERS and not item and x.count(" ") >= 3))
+    named = not ended and not anchor and " " in x and not _DIGITS.search(x)
+    kinds = ended * ENDED | anchor * ANCHOR | item * ITEM | signs.residue * FIXED | named * NAMED
+    return Line(xxhash.xxh3_64_intdigest(pattern(x, ended, tags)) - (1 << 63), weight, tags, kinds, signs)
+
+
+def density(chars: float, tags: int, link_chars: float, link_tags: int, body_chars: float, body_links: float) -> float:
+    """Characters per tag, times the logarithm of text and tags against link text to a base that grows with the node's link text."""
+    if not chars:
+        return 0.0
+    base = math.log(chars / max(1, chars - link_chars) * link_chars + body_links / max(1, body_chars) * chars + math.e)
+    ratio = chars / max(1, link_chars) * tags / max(1, link_tags)
+    return chars / tags * math.log(max(ratio, 1.0)) / math.log(max(base, 1.0001))
+
+
+def main_sections(chars: list[int], tags: list[int], kinds: list[int], link: list[bool], named: list[bool]) -> list[tuple[int, int]]:
+    """(first, last) line of each section of the main body; none where everything is link text."""
+    runs: list[tuple[int, int]] = []
+    start = None
+    for k, is_link in enumerate(link):
+        if is_link:
+            if start is not None:
+                runs.append((start, k - 1))
+                start = None
+        elif start is None:
+            start = k
+    if start is not None:
+        runs.append((start, len(link) - 1))
+    if not runs:
+        return []
+    body, links = sum(chars), sum(c for c, x in zip(chars, link, strict=True) if x)
+    root = density(body, sum(tags), links, sum(t for t, x in zip(tags, link, strict=True) if x), body, links)
+    own = [density(c, t, 0, 0, body, links) for c, t in zip(chars, tags, strict=True)]
+    dense = [density(sum(chars[a : b + 1]), sum(tags[a : b + 1]), 0, 0, body, links) for a, b in runs]
+    top = max(range(len(runs)), key=lambda i: sum(own[runs[i][0] : runs[i][1] + 1]))
+    threshold = min(dense[top], root)
+    out = []
+    for (a, b), d in zip(runs, dense, strict=True):
+        if d >= threshold - 1e-9:
+            while b >= a and not kinds[b] & (ENDED | ITEM | FIXED) and not named[b] and own[b] < dense[top]:
+                b -= 1
+            if b >= a:
+                out.append((a, b))
+    return out
 
 
 @dataclass
@@ -187,91 +155,181 @@ class Page:
         return sep.join(self.lines[i] for i in self.own)
 
 
-def read_page(body: str) -> Page:
-    """The main body of one page. residue: filler, an error message, a demand for scripts or slots stand in its place."""
-    raw = body.split("\n")
-    lines = [" ".join(x.split()) for x in raw]
-    leaves: list[tuple[int, Node]] = []
-    root = Node()
-    for i, x in enumerate(lines):
-        if not x:
-            continue
-        tags = 1 + x.count(" | ") + x.count(" · ") + x.count(" > ")
-        link = is_link_text(x)
-        leaf = Node(len(x), tags, len(x) if link else 0, tags if link else 0, [i])
-        leaves.append((i, leaf))
-        root.add(leaf)
-    sections: list[Node] = []
-    last = None
-    for _, leaf in leaves:
-        kind = leaf.link_chars > 0
-        if kind != last:
-            sections.append(Node())
-            last = kind
-        sections[-1].add(leaf)
-        sections[-1].density_sum += leaf.density(root)
-    if not sections:
-        return Page(lines, [], [], False)
-    top = max(sections, key=lambda s: s.density_sum)
-    threshold = min(top.density(root), root.density(root))
-    body = [i for s in sections if s.density(root) >= threshold for i in s.lines]
-    thin = [i for s in sections if s.density(root) < threshold for i in s.lines]
-    # the final check by line: link text leaves the body; bylines, subheadings, lists and results return to it
-    own = sorted(i for i in body + thin if not is_link_text(lines[i]))
-    kept = set(own)
-    furniture = [i for i, _ in leaves if i not in kept]
-    return Page(lines, own, furniture, residue_text([lines[i] for i in own]))
-
-
-def body_lines(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", body_col: str = "body", dictionaries: Dictionaries | None = None) -> DataFrame:
-    """Distinct (id, line_no int) of the non-empty lines outside the main body.
+def read_page(body: str, back: frozenset[int] = frozenset(), named: frozenset[int] = frozenset()) -> Page:
+    """The main body of one page, given the keys of the patterns that come back in its source and of those that are own text.
 
-    Garbled lines are judged by their restored text. Null and empty bodies give no rows, as do pages
-    on which filler, an error message or a demand for scripts stands in place of a text. Line numbers
-    start at 1 and count empty lines. Repeated rows count once; other columns aren't read.
+    residue: filler, an error message, a demand for scripts or slots stand in the place of a text.
     """
+    lines = [" ".join(x.split()) for x in body.split("\n")]
+    at = [i for i, x in enumerate(lines) if x]
+    facts = [read_line(lines[i]) for i in at]
+    kept = _kept(facts, back, named)
+    own = [i for i, k in zip(at, kept, strict=True) if k]
+    return Page(lines, own, [i for i, k in zip(at, kept, strict=True) if not k], residue_of_signs([(f.key, f.signs) for f, k in zip(facts, kept, strict=True) if k]))
+
+
+def _kept(facts: list[Line], back: frozenset[int], named: frozenset[int]) -> list[bool]:
+    places = main_sections([f.chars for f in facts], [f.tags for f in facts], [f.kinds for f in facts], *_links([f.key for f in facts], [f.kinds for f in facts], back, named))
+    kept = [False] * len(facts)
+    for a, b in places:
+        kept[a : b + 1] = [True] * (b - a + 1)
+    return kept
+
+
+def _links(keys: list[int], kinds: list[int], back: frozenset[int], named: frozenset[int]) -> tuple[list[bool], list[bool]]:
+    """Which lines are link text, and which are bylines or subheadings that come back."""
+    name = [bool(k & NAMED) and x in named for x, k in zip(keys, kinds, strict=True)]
+    return [bool(k & ANCHOR) or (x in back and not n and not k & (ITEM | FIXED)) for x, k, n in zip(keys, kinds, name, strict=True)], name
+
+
+# ---- over all pages ----
+
+
+def _facts(docs: DataFrame, samples: DataFrame, body_col: str, source_col: str | None, carry: tuple[str, ...], title_col: str | None, with_text: bool, dictionaries: Dictionaries | None) -> DataFrame:
+    """One settled row of each row of docs with the facts of its lines; texts are read and restored once, here."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(dictionaries or train_dictionaries(samples))
+    n = len(carry)
+    columns = [F.coalesce(F.col(source_col).cast("string"), F.lit("")) if source_col else F.lit(""), F.col(title_col).cast("string") if title_col else F.lit(None).cast("string")]
+    rows = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)), columns[0].alias("src"), columns[1].alias("title"), F.col(body_col).alias("body"), F.monotonically_increasing_id().alias("rid"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = shared.value
         for b in batches:
-            rows, numbers = [], []
-            for i, body in enumerate(b.column(1).to_pylist()):
-                if body:
-                    page = read_page(repair(body, shared.value)[0])
-                    if not page.residue:
-                        numbers += [k + 1 for k in page.furniture]
-                        rows += [i] * len(page.furniture)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32())], names=[id_col, "line_no"])
+            out: list[tuple] = []
+            for title, body in zip(b.column(n + 1).to_pylist(), b.column(n + 2).to_pylist(), strict=True):
+                slot = title_col is not None and (has_slot(title) or has_slot(body))
+                lines = [" ".join(x.split()) for x in repair(body, d)[0].split("\n")] if body else []
+                at = [i for i, x in enumerate(lines) if x]
+                facts = [read_line(lines[i]) for i in at]
+                longest = max(facts, key=lambda f: f.chars).key if facts else 0
+                open_keys = list({f.key for f in facts if not f.kinds & (ANCHOR | ITEM | FIXED)})
+                out.append((slot, longest, open_keys, at, [f.key for f in facts], [f.chars for f in facts], [f.tags for f in facts], [f.kinds for f in facts], [f.signs.packed for f in facts], [f.signs.only for f in facts], [lines[i] for i in at] if with_text else None))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 11
+            i32, i64 = pa.list_(pa.int32()), pa.list_(pa.int64())
+            kinds = (pa.bool_(), pa.int64(), i64, i32, i64, i32, i32, i32, i64, i32, pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n + 1)), b.column(n + 3), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)
+
+    fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
+    rest = T._parse_datatype_string("src string, rid bigint, slot boolean, context bigint, open array<bigint>, at array<int>, key array<bigint>, chars array<int>, tags array<int>, kinds array<int>, packed array<bigint>, only array<int>, text array<string>")
+    schema = T.StructType([*fields, *rest.fields])
+    names = schema.names
+    return settle(rows.mapInArrow(run, schema))
+
+
+def patterns_that_come_back(pages: DataFrame) -> DataFrame:
+    """(src, key) of the patterns on at least MIN_PAGES different pages and MIN_SHARE of the different pages of the source."""
+    total = pages.where("size(at) > 0").select("src", "context").distinct().groupBy("src").agg(F.count("*").alias("total"))
+    found = pages.select("src", "context", F.explode("open").alias("key")).distinct().groupBy("src", "key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
+    return settle(found.join(checked_broadcast(total), "src").where(F.col("n") >= MIN_SHARE * F.col("total")).select("src", "key"))
+
+
+def _with_keys(pages: DataFrame, keys: DataFrame, column: str, exploded: str) -> DataFrame:
+    """pages with an array of those of its keys (of the array column exploded) that are in keys."""
+    found = pages.select("rid", "src", F.explode(exploded).alias("key")).join(checked_broadcast(keys), ["src", "key"]).groupBy("rid").agg(F.collect_list("key").alias(column))
+    return pages.join(found, "rid", "left")
+
+
+def named_patterns(pages: DataFrame) -> DataFrame:
+    """(src, key) of the patterns of bylines and subheadings: NAMED ones that hold the place of own text on nearly all pages.
+
+    pages: with the arrays key, chars, tags, kinds, back. Pages with a single line before (or after)
+    the body say nothing about the place of that line.
+    """
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, body_col).mapInArrow(run, f"`{id_col}` {kind}, line_no int").distinct()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts: Counter[tuple[str, int, int]] = Counter()
+            for src, key, chars, tags, kinds, back in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
+                back = frozenset(back or ())
+                sections = main_sections(chars, tags, kinds, *_links(key, kinds, back, frozenset()))
+                if not sections or not back:
+                    continue
+                first, last, end = sections[0][0], sections[-1][1], len(key) - 1
+                for k, (x, kind) in enumerate(zip(key, kinds, strict=True)):
+                    if kind & NAMED and x in back:
+                        if first <= k <= last:
+                            counts[src, x, 0] += 1
+                        elif k < first and first > 1:
+                            counts[src, x, 1 if k == first - 1 else 3] += 1
+                        elif k > last and last < end - 1:
+                            counts[src, x, 2 if k == last + 1 else 3] += 1
+            rows = list(zip(*((*k, n) for k, n in counts.items()), strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.string(), pa.int64(), pa.int32(), pa.int64()), strict=True)], names=["src", "key", "place", "n"])
+
+    counted = pages.select("src", "key", "chars", "tags", "kinds", "back").mapInArrow(run, "src string, key bigint, place int, n bigint")
+    by_place = [F.sum(F.when(F.col("place") == p, F.col("n")).otherwise(0)).alias(name) for p, name in enumerate(("inside", "before", "after", "away"))]
+    n = counted.groupBy("src", "key").agg(*by_place).withColumn("n", F.col("inside") + F.col("before") + F.col("after") + F.col("away")).where("n >= 2")
+    own = (
+        ((F.col("before") >= BEFORE * F.col("n")) & (F.col("inside") + F.col("after") <= ELSEWHERE * F.col("n")))
+        | ((F.col("after") >= AFTER * F.col("n")) & (F.col("inside") + F.col("before") <= ELSEWHERE * F.col("n")))
+        | ((F.col("inside") >= INSIDE * F.col("n")) & (F.col("away") <= ELSEWHERE * F.col("n")))
+    )
+    return n.where(own).select("src", "key")
+
+
+def foreign_sources(pages: DataFrame) -> DataFrame:
+    """(src, foreign) of the sources most of whose pages have no word of the known languages: there, that is no sign of filler."""
+    known = F.exists("packed", lambda x: x.bitwiseAND(F.lit(2)) > 0)
+    return settle(pages.where("size(at) > 0").groupBy("src").agg(F.avg(known.cast("double")).alias("share")).where("share < 0.5").select("src", F.lit(True).alias("foreign")))
+
+
+def read_pages(docs: DataFrame, samples: DataFrame, body_col: str = "body", source_col: str | None = "source", carry: tuple[str, ...] = (), title_col: str | None = None, with_text: bool = False, dictionaries: Dictionaries | None = None) -> DataFrame:
+    """(c0, c1... carried columns, slot, at, kept, residue[, text]) of each row of docs.
+
+    at: indexes of the non-empty lines (from 0), kept: whether each is own text, text: the lines,
+    restored; all empty for null and empty bodies. residue: filler, an error message, a demand for
+    scripts or slots stand in place of a text. slot: title or body have an open slot (with title_col).
+    """
+    facts = _facts(docs, samples, body_col, source_col, carry, title_col, with_text, dictionaries)
+    small = facts.select("rid", "src", "open", "key", "chars", "tags", "kinds")
+    back = settle(_with_keys(small, patterns_that_come_back(facts), "back", "open"))
+    named = settle(named_patterns(back))
+    joined = _with_keys(back.where("back is not null").select("rid", "src", "back"), named, "named", "back")
+    pages = facts.join(joined.select("rid", "back", "named"), "rid", "left").join(checked_broadcast(foreign_sources(facts)), "src", "left")
+    cols = [c for c in facts.columns if c.startswith("c") and c[1:].isdigit()]
+    given = [*cols, "slot", "at", *(["text"] if with_text else [])]
+    n = len(given)
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept, residue = [], []
+            for key, chars, tags, kinds, packed, only, back, named, foreign in zip(*(b.column(n + i).to_pylist() for i in range(9)), strict=True):
+                mask = [False] * len(key)
+                for a, z in main_sections(chars, tags, kinds, *_links(key, kinds, frozenset(back or ()), frozenset(named or ()))):
+                    mask[a : z + 1] = [True] * (z - a + 1)
+                kept.append(mask)
+                residue.append(residue_of_signs([(x, LineSigns(p, o)) for x, p, o, m in zip(key, packed, only, mask, strict=True) if m], bool(foreign)))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(kept, pa.list_(pa.bool_())), pa.array(residue, pa.bool_())], names=[*given, "kept", "residue"])
 
-def main_bodies(docs: DataFrame, samples: DataFrame, body_col: str = "body") -> DataFrame:
-    """docs with main_body: the lines of the page's own text, restored, joined by newlines.
+    schema = T.StructType([*(facts.schema[c] for c in given), T.StructField("kept", T.ArrayType(T.BooleanType())), T.StructField("residue", T.BooleanType())])
+    return pages.select(*given, "key", "chars", "tags", "kinds", "packed", "only", "back", "named", "foreign").mapInArrow(run, schema)
 
-    Null where body is null or residue stands in its place, '' where nothing is the page's own. A
-    narrow map; repeated rows stay and other columns but main_body are untouched.
-    """
-    from pyspark.sql import types as T
 
-    spark = docs.sparkSession
-    ship(spark)
-    shared = spark.sparkContext.broadcast(train_dictionaries(samples))
-    docs = docs.drop("main_body")
-    at = docs.columns.index(body_col)
+def body_lines(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", body_col: str = "body", source_col: str | None = "source", dictionaries: Dictionaries | None = None) -> DataFrame:
+    """Distinct (id, line_no int) of the non-empty lines outside the main body.
 
-    def one(body: str | None) -> str | None:
-        if body is None:
-            return None
-        page = read_page(repair(body, shared.value)[0])
-        return None if page.residue else page.text()
+    Garbled lines are judged by their restored text. Null and empty bodies give no rows, as do pages
+    on which filler, an error message or a demand for scripts stands in place of a text, and pages
+    without any section that isn't link text. Line numbers start at 1 and count empty lines. Repeated
+    rows count once; null sources are one source; other columns aren't read.
+    """
+    pages = read_pages(docs.where(F.col(body_col) != ""), samples, body_col, source_col, (id_col,), dictionaries=dictionaries)
+    own = F.exists("kept", lambda x: x)
+    lines = pages.where(~F.col("residue") & own).select(F.col("c0").alias(id_col), F.explode(F.filter(F.arrays_zip("at", "kept"), lambda x: ~x["kept"])).alias("x"))
+    return lines.select(id_col, (F.col("x.at") + 1).cast("int").alias("line_no")).distinct()
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = pa.array([one(x) for x in b.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, "main_body"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("main_body", T.StringType())]))
+def main_bodies(docs: DataFrame, samples: DataFrame, body_col: str = "body", source_col: str | None = "source") -> DataFrame:
+    """docs with main_body: the lines of the page's own text, restored, joined by newlines.
+
+    Null where body is null or residue stands in its place, '' where nothing is the page's own.
+    Repeated rows stay and other columns but main_body are untouched.
+    """
+    docs = docs.drop("main_body")
+    pages = read_pages(docs, samples, body_col, source_col, tuple(docs.columns), with_text=True)
+    own = F.array_join(F.transform(F.filter(F.arrays_zip("text", "kept"), lambda x: x["kept"]), lambda x: x["text"]), "\n")
+    names = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    body = F.col(f"c{docs.columns.index(body_col)}")
+    return pages.select(*names, F.when(body.isNotNull() & ~F.col("residue"), own).alias("main_body"))

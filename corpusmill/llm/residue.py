@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.runtime import checked_broadcast, settle, ship
@@ -112,44 +113,83 @@ def line_residue(line: str) -> bool:
     return _CODE.fullmatch(low) is not None
 
 
-def residue_text(lines: list[str]) -> bool:
-    """Whether a page's own lines are residue instead of an article. No lines: no."""
-    if not lines:
+@dataclass(frozen=True)
+class LineSigns:
+    """What the rules see in one line, as numbers that travel instead of the text.
+
+    packed: whether the line is residue, whether it holds a function word or is mostly not Latin,
+    whether its first sentence is a cue sentence, its words other than letters, different words (to
+    three), words, cue sentences and sentences; counts stop at the widths of their fields, far beyond
+    what the rules ask for. only: a hash of its one sentence if all its sentences are the same, else 0.
+    """
+
+    packed: int
+    only: int
+
+    residue = property(lambda self: bool(self.packed & 1))
+    plain = property(lambda self: bool(self.packed & 2))
+    first_cue = property(lambda self: bool(self.packed & 4))
+    distinct = property(lambda self: self.packed >> 3 & 3)
+    other = property(lambda self: self.packed >> 5 & 0xFFF)
+    words = property(lambda self: self.packed >> 17 & 0xFFFF)
+    cues = property(lambda self: self.packed >> 33 & 0x3FFF)
+    sentences = property(lambda self: self.packed >> 47 & 0x7FFF)
+
+
+def _whole(n: int, bits: int) -> int:
+    return min(n, (1 << bits) - 1)
+
+
+@lru_cache(maxsize=20_000)
+def line_signs(line: str) -> LineSigns:
+    """The signs of a line with white space collapsed, not empty."""
+    low = line.casefold()
+    words = _WORDS.findall(low)
+    plain = not FUNCTION_WORDS.isdisjoint(words) or (not line.isascii() and (len(line.encode()) - len(line)) * 10 > len(line))
+    letters = len(words) if plain else sum(w.isalpha() for w in words)
+    distinct = 0 if plain else len({w for w in words if w.isalpha()})
+    n = 1 + low.count(". ") + low.count("! ") + low.count("? ") + low.count("。 ")
+    end = _SENTENCE.search(low) if n > 1 else None
+    first = low[: end.start()] if end else low
+    only = 0
+    if end is None or (low.startswith(first[:8], end.end()) and all(s == first for s in _SENTENCE.split(low))):
+        only = (xxhash.xxh3_64_intdigest(first) & 0x7FFFFFFF) or 1
+    cues, first_cue = 0, False
+    marks = _ASCII_MARKS if low.isascii() else _MARKS
+    if any(c in low for c in marks) or (LOST in low and _CUE.search(low)):
+        found = [_cue_sentence(s) for s in _SENTENCE.split(line) if s]
+        cues, first_cue = sum(found), found[0]
+    packed = line_residue(line) | plain << 1 | first_cue << 2 | _whole(distinct, 2) << 3 | _whole(len(words) - letters, 12) << 5 | _whole(len(words), 16) << 17 | _whole(cues, 14) << 33 | _whole(n, 15) << 47
+    return LineSigns(packed, only)
+
+
+def residue_of_signs(signs: list[tuple[int, LineSigns]], foreign: bool = False) -> bool:
+    """Whether a page's own lines, each a key of its text and its signs, are residue instead of an article. No lines: no.
+
+    They are where the first two have a residue line and all are such lines or have few words; where
+    they are one sentence at least three times; where they are at least eight Latin words, some of
+    them different, without any function word, unless the source is foreign; and where cue sentences are more than half of all, or
+    at least a third and the first of all.
+    """
+    if not signs:
         return False
-    if any(line_residue(x) for x in lines[:2]) and (all(line_residue(x) for x in lines) or sum(len(_WORDS.findall(x)) for x in lines) <= ERROR_PAGE_WORDS):
+    own = [s for _, s in signs]
+    if any(s.residue for s in own[:2]) and (all(s.residue for s in own) or sum(s.words for s in own) <= ERROR_PAGE_WORDS):
+        return True
+    if own[0].only and all(s.only == own[0].only for s in own) and sum(s.sentences for s in own) >= 3:
         return True
-    return _one_sentence(lines) or _no_language(lines) or _cue_sentences(lines)
-
-
-def _one_sentence(lines: list[str]) -> bool:
-    """Whether the lines are one sentence at least three times."""
-    first, n = None, 0
-    for x in lines:
-        for s in _SENTENCE.split(x):
-            s = s.casefold()
-            if first is None:
-                first = s
-            elif s != first:
-                return False
-            n += 1
-    return n >= 3
-
-
-def _no_language(lines: list[str]) -> bool:
-    """Whether the lines are at least eight Latin words, some of them different, without any function word."""
-    n, other, seen = 0, 0, set()
-    for x in lines:
-        if not x.isascii() and (len(x.encode()) - len(x)) * 10 > len(x):
-            return False
-        for w in _WORDS.findall(x.casefold()):
-            if w in FUNCTION_WORDS:
-                return False
-            if w.isalpha():
-                n += 1
-                seen.add(w)
-            else:
-                other += 1
-    return n >= 8 and n >= 9 * other and len(seen) >= 3
+    if not foreign and not any(s.plain for s in own):
+        other = sum(s.other for s in own)
+        n = sum(s.words for s in own) - other
+        if n >= 8 and n >= 9 * other and max(max(s.distinct for s in own), len({k for k, _ in signs})) >= 3:
+            return True
+    cues, n = sum(s.cues for s in own), sum(s.sentences for s in own)
+    return 2 * cues > n or (own[0].first_cue and 3 * cues >= n)
+
+
+def residue_text(lines: list[str]) -> bool:
+    """Whether a page's own lines are residue instead of an article. No lines: no."""
+    return residue_of_signs([(hash(x), line_signs(" ".join(x.split()))) for x in lines if x.strip()])
 
 
 def _cue_sentence(sentence: str) -> bool:
@@ -163,17 +203,6 @@ def _cue_sentence(sentence: str) -> bool:
     return len(words) >= 4 and sum(w in LOREM_WORDS for w in words) * 4 >= 3 * len(words)
 
 
-def _cue_sentences(lines: list[str]) -> bool:
-    """Whether cue sentences are more than half of all, or at least a third and the first of all, however long the lines are."""
-    sentences = [s for x in lines for s in _SENTENCE.split(x) if s]
-    text = "\n".join(sentences[: (len(sentences) + 1) // 2]).casefold()  # one of these is a cue sentence then
-    marks = _ASCII_MARKS if text.isascii() else _MARKS
-    if not any(c in text for c in marks) and not (LOST in text and _CUE.search(text)):
-        return False
-    found = [_cue_sentence(s) for s in sentences]
-    return 2 * sum(found) > len(found) or (found[0] and 3 * sum(found) >= len(found))
-
-
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -295,41 +324,29 @@ def table_keys(fingerprint: int) -> list[int]:
     return [k << 40 | parts[a] << 12 | parts[b] for k, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
 
 
-PAGE_SCHEMA = "slot boolean, residue boolean, class bigint, n_shingles int, prefix array<bigint>, n_words int"
+CLASS_SCHEMA = "class bigint, n_shingles int, prefix array<bigint>, n_words int, own string"
 
 
-def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body", with_text: bool = False) -> DataFrame:
-    """(id, slot, residue, class, n_shingles, prefix, n_words[, own]) of each row; a narrow map over whole texts."""
-    from corpusmill.llm.encoding import repair, train_dictionaries
-    from corpusmill.llm.pagebody import read_page
+def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body", source_col: str | None = "source") -> DataFrame:
+    """(id, slot, residue, class, n_shingles, prefix, n_words, own) of each row; own is the page's own text, as the words that are compared."""
+    from pyspark.sql import types as T
 
-    spark = docs.sparkSession
-    ship(spark)
-    shared = spark.sparkContext.broadcast(train_dictionaries(samples))
+    from corpusmill.llm.pagebody import read_pages
+
+    pages = read_pages(docs, samples, body_col, source_col, (id_col,), title_col, with_text=True)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        d = shared.value
         for b in batches:
-            rows, texts = [], []
-            for title, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                slot = has_slot(title) or has_slot(body)
-                residue, words = False, []
-                if body:
-                    page = read_page(repair(body, d)[0])
-                    lines = [page.lines[i] for i in page.own]
-                    residue = residue_text(lines)
-                    words = normal_words(" ".join(lines))
-                joined = " ".join(words)
-                texts.append(words)
-                rows.append((slot, residue, xxhash.xxh3_64_intdigest(joined) - (1 << 63) if words else None, None, None, len(words), joined))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
-            cols[3], cols[4] = batch_prefixes(texts)
-            kinds = [pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.string()][: 7 if with_text else 6]
-            names = [id_col, "slot", "residue", "class", "n_shingles", "prefix", "n_words", "own"][: 8 if with_text else 7]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=False))], names=names)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, title_col, body_col).mapInArrow(run, f"`{id_col}` {kind}, {PAGE_SCHEMA}" + (", own string" if with_text else ""))
+            texts = [normal_words(" ".join(x for x, k in zip(lines, kept, strict=True) if k)) if lines else [] for lines, kept in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+            own = [" ".join(words) for words in texts]
+            classes = pa.array([xxhash.xxh3_64_intdigest(x) - (1 << 63) if x else None for x in own], pa.int64())
+            size, keys = batch_prefixes(texts)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), classes, pa.array(size), keys, pa.array([len(x) for x in texts], pa.int32()), pa.array(own, pa.string())], names=names)
+
+    rest = T._parse_datatype_string("slot boolean, residue boolean, " + CLASS_SCHEMA)
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *rest.fields])
+    names = schema.names
+    return pages.select("c0", "slot", "residue", "text", "kept").mapInArrow(run, schema)
 
 
 def _class_prefixes(own: DataFrame) -> DataFrame:
@@ -379,24 +396,33 @@ def spread_labels(pages: DataFrame, texts) -> DataFrame:
     return labelled
 
 
-def residue_pages(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body") -> DataFrame:
-    """Distinct ids of the rows with an open slot, or with residue in place of a text.
+def residue_labels(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body", source_col: str | None = "source", trusted: Column | None = None) -> DataFrame:
+    """(id, slot, seed, spread) of each row of docs: an open slot; a trusted label; the label after it has spread.
 
-    Null and empty titles and bodies have neither; a null id comes out as null if its row is a case;
-    repeated rows count once; other columns aren't read; an empty table gives no rows.
+    trusted: a condition on the id column that says which rows' rule labels are trusted as seeds; all
+    of them without it. What spreads from a part of the labels to the other pages that the rules would
+    have named is the recall of the spread.
     """
-    pages = settle(page_classes(docs, samples, id_col, title_col, body_col))
+    pages = page_classes(docs, samples, id_col, title_col, body_col, source_col)
+    pages = settle(pages if trusted is None else pages.withColumn("residue", F.col("residue") & trusted))
 
     def texts(wanted: DataFrame) -> DataFrame:
-        one = pages.join(checked_broadcast(wanted), "class", "left_semi").groupBy("class").agg(F.min(id_col).alias(id_col))
-        rows = docs.join(checked_broadcast(one.select(id_col)), id_col, "left_semi")
-        return settle(page_classes(rows, samples, id_col, title_col, body_col, with_text=True).where("class is not null").select("class", "own").dropDuplicates(["class"]))
+        return settle(pages.join(checked_broadcast(wanted), "class", "left_semi").select("class", "own").dropDuplicates(["class"]))
+
+    spread = spread_labels(pages, texts).withColumn("spread", F.lit(True))
+    return pages.select(id_col, "slot", F.col("residue").alias("seed"), "class").join(checked_broadcast(spread), "class", "left").select(id_col, "slot", "seed", F.coalesce("spread", F.lit(False)).alias("spread"))
+
+
+def residue_pages(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body", source_col: str | None = "source") -> DataFrame:
+    """Distinct ids of the rows with an open slot, or with residue in place of a text.
 
-    spread = spread_labels(pages, texts)
-    direct = pages.where("slot or residue").select(id_col)
-    return direct.union(pages.join(checked_broadcast(spread), "class", "left_semi").select(id_col)).distinct()
+    Null and empty titles and bodies have neither; a null id comes out as null if its row is a case;
+    repeated rows count once; other columns aren't read; an empty table gives no rows.
+    """
+    return residue_labels(docs, samples, id_col, title_col, body_col, source_col).where("slot or spread").select(id_col).distinct()
 
 
-def without_residue(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body") -> DataFrame:
+def without_residue(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body", source_col: str | None = "source") -> DataFrame:
     """The rows of docs that are no cases; rows with a null id stay."""
-    return docs.join(checked_broadcast(settle(residue_pages(docs, samples, id_col, title_col, body_col).where(F.col(id_col).isNotNull()))), id_col, "left_anti")
+    cases = settle(residue_pages(docs, samples, id_col, title_col, body_col, source_col).where(F.col(id_col).isNotNull()))
+    return docs.join(checked_broadcast(cases), id_col, "left_anti")

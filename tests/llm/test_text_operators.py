@@ -8,7 +8,7 @@ import pytest
 
 from corpusmill.llm.encoding import CHARS, Dictionaries, garbled_fields, repair, restored
 from corpusmill.llm.langid import LanguageModels, document_languages, label_language, wrong_languages
-from corpusmill.llm.pagebody import body_lines, is_link_text, main_bodies, read_page
+from corpusmill.llm.pagebody import body_lines, main_bodies, read_page
 from corpusmill.llm.repeated import frequent_lines, repeated_lines, without_repeated_lines
 from corpusmill.llm.residue import batch_fingerprints, has_slot, jaccard, page_classes, residue_pages, residue_text, shingles, simhash, table_keys, without_residue
 
@@ -108,7 +108,6 @@ def test_page_body():
     page = read_page(PAGE)
     assert [i + 1 for i in page.furniture] == [1, 7, 8, 9, 10] and not page.residue
     assert read_page("").own == [] and read_page("\n \n").furniture == []
-    assert is_link_text("Most read") and not is_link_text("“We did not expect this,” said a spokesperson.")
 
 
 def test_body_lines_edge_rows(spark, samples):
@@ -121,6 +120,46 @@ def test_body_lines_edge_rows(spark, samples):
     assert ("b", None) in main and ("c", "") in main and ("e", None) in main
 
 
+WORDS_OF_NO_LIST = ["vamik", "torel", "ponda", "rusti", "gelom", "hadra", "sikep", "wolun", "befti", "jorma", "kuvel", "dinap"]
+
+
+def unlisted_pages(rng, n=60):
+    """Pages in a language of no reference text, with furniture of one site and random articles; (body, numbers of furniture lines)."""
+    sentence = lambda: (" ".join(rng.choice(WORDS_OF_NO_LIST) + rng.choice("aeiou") * rng.randint(0, 2) for _ in range(rng.randint(9, 16))) + ".").capitalize()
+    furniture = ["Zilga | Mopra | Heklo | Tuvas", "Nelfa gurto zipan melo.", "Vrota kesta!", "Dorpa 12 zemlik", "Gorna melfa", "© 2024 Zorba Kestel"]
+    out = []
+    for _ in range(n):
+        above, below = rng.sample(furniture, rng.randint(0, 3)), rng.sample(furniture, rng.randint(0, 3))
+        own = ["Per Zorba Kestel", sentence() + " " + sentence(), sentence(), "Hurda welma", sentence() + " " + sentence() + " " + sentence()]
+        lines = above + own + below
+        out.append(("\n".join(lines), [*range(1, len(above) + 1), *range(len(above) + len(own) + 1, len(lines) + 1)]))
+    return out
+
+
+def unlisted_rows(rng):
+    return [(f"u{i}", "t", body, "zorba", None, " ".join(map(str, numbers))) for i, (body, numbers) in enumerate(unlisted_pages(rng))]
+
+
+def test_pages_of_an_unlisted_language_are_cleaned(spark, samples):
+    rows = unlisted_rows(random.Random(8))
+    want = {(r[0], int(n)) for r in rows for n in r[5].split()}
+    got = {tuple(r) for r in body_lines(articles(spark, rows), samples).collect()}
+    assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.9 * len(got) and len(want) > 100
+    copies = rows + [(f"c{i}", *rows[0][1:]) for i in range(90)]  # copies of an article don't make its lines furniture
+    again = {tuple(r) for r in body_lines(articles(spark, copies), samples).collect()}
+    assert {x for x in again if x[0] == "u0"} == {x for x in got if x[0] == "u0"}
+
+
+def test_density_decides(spark, samples, monkeypatch):
+    from corpusmill.llm import pagebody
+
+    rows = [("p", PAGE), *((r[0], r[2]) for r in unlisted_rows(random.Random(8)))]
+    before = {i: pagebody.read_page(body).furniture for i, body in rows}
+    monkeypatch.setattr(pagebody, "density", lambda *_: 1.0)
+    after = {i: pagebody.read_page(body).furniture for i, body in rows}
+    assert sum(before[i] != after[i] for i in before) > len(before) / 4
+
+
 def test_long_page_is_read_whole(spark, samples):
     body = "\n".join([f"{i} {SAMPLES['en'][0]}" for i in range(20_000)] + ["12 comments"])
     assert body_lines(articles(spark, [("a", "t", body, "s", "en", "")]), samples).collect()[0].line_no == 20_001
