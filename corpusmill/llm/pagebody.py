@@ -65,7 +65,9 @@ def is_ended(line: str) -> bool:
 
 def pattern(line: str, ended: bool, tags: int) -> str:
     """What a line has in common with those that differ in case, digits, the order of short items or what follows a label."""
-    low = _DIGITS.sub("0", line.casefold())
+    low = line.casefold()
+    if not low.isalpha():
+        low = _DIGITS.sub("0", low)
     if ended or len(low) >= 160:
         return low
     if m := _LABELLED.match(low):
@@ -90,7 +92,7 @@ ENDED, ANCHOR, ITEM, FIXED, NAMED = 1, 2, 4, 8, 16
 @lru_cache(maxsize=60_000)
 def read_line(x: str) -> Line:
     """Of a line with white space collapsed, not empty. FIXED: residue, never furniture; NAMED: may be a byline or subheading."""
-    found = [x.count(s) for s in _SEPARATORS]
+    found = [x.count(s) for s in _SEPARATORS] if any(s in x for s in "|·>•/–—") else [0] * len(_SEPARATORS)
     tags = 1 + sum(found)
     weight = len(x) if x.isascii() else len(x) + 2 * len(_HANGUL.findall(x))
     ended = is_ended(x)

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -89,26 +90,40 @@ LOREM_WORDS = frozenset(
     "lorem ipsum dolor sit amet consectetur consectetuer adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
 )
 _MARKS = (*_CUES, "dolor", "veniam", "cupidatat")
-_ASCII_MARKS = tuple(m for m in _MARKS if m.isascii())
 
 
 def has_slot(text: str | None) -> bool:
     return bool(text) and _SLOT_MARK.search(text) is not None and SLOT.search(text) is not None
 
 
-@lru_cache(maxsize=20_000)
-def line_residue(line: str) -> bool:
+@lru_cache(maxsize=1)
+def _automaton() -> ahocorasick.Automaton:
+    """All marks at once; built in each process."""
+    found = ahocorasick.Automaton()
+    for m in _MARKS:
+        found.add_word(m, m)
+    found.make_automaton()
+    return found
+
+
+def has_mark(low: str) -> bool:
+    """Whether a text in lower case may hold a cue."""
+    return next(_automaton().iter(low), None) is not None or (LOST in low and _CUE.search(low) is not None)
+
+
+def line_residue(line: str, low: str | None = None, marked: bool | None = None) -> bool:
     """Whether a line is nothing but slots, filler, an error message or a demand for scripts."""
     if not line or len(line) > 240:
         return False
-    if _SLOT_MARK.search(line) and LOST not in line and not _WORDS.search(SLOT.sub(" ", line)):
-        return True
-    if _SLOT_MARK.search(line) and line.startswith("TODO: ") and len(line) < 60:
-        return True
+    if _SLOT_MARK.search(line):
+        if LOST not in line and not _WORDS.search(SLOT.sub(" ", line)):
+            return True
+        if line.startswith("TODO: ") and len(line) < 60:
+            return True
     if line.count(LOST) * 4 > len(line):
         return False
-    low = line.casefold()
-    if len(low) < 140 and (sum(len(c) * low.count(c) for c in _CUES if c in low) * 5 >= len(low) or (LOST in low and _CUE.search(low))):
+    low = line.casefold() if low is None else low
+    if len(low) < 140 and (has_mark(low) if marked is None else marked) and (sum(len(c) * low.count(c) for c in _CUES if c in low) * 5 >= len(low) or (LOST in low and _CUE.search(low))):
         return True  # the message is a good part of the line
     return _CODE.fullmatch(low) is not None
 
@@ -140,26 +155,28 @@ def _whole(n: int, bits: int) -> int:
     return min(n, (1 << bits) - 1)
 
 
-@lru_cache(maxsize=20_000)
 def line_signs(line: str) -> LineSigns:
-    """The signs of a line with white space collapsed, not empty."""
+    """The signs of a line with white space collapsed, not empty; its words are what white space parts."""
     low = line.casefold()
-    words = _WORDS.findall(low)
+    words = low.split(" ")
+    n_words, other, distinct = len(words), 0, 0
     plain = not FUNCTION_WORDS.isdisjoint(words) or (not line.isascii() and (len(line.encode()) - len(line)) * 10 > len(line))
-    letters = len(words) if plain else sum(w.isalpha() for w in words)
-    distinct = 0 if plain else len({w for w in words if w.isalpha()})
+    if not plain:
+        parts = _WORDS.findall(low)
+        plain = not FUNCTION_WORDS.isdisjoint(parts)
+        letters = [w for w in parts if w.isalpha()]
+        n_words, other, distinct = len(parts), len(parts) - len(letters), len(set(letters))
     n = 1 + low.count(". ") + low.count("! ") + low.count("? ") + low.count("。 ")
-    end = _SENTENCE.search(low) if n > 1 else None
-    first = low[: end.start()] if end else low
     only = 0
-    if end is None or (low.startswith(first[:8], end.end()) and all(s == first for s in _SENTENCE.split(low))):
-        only = (xxhash.xxh3_64_intdigest(first) & 0x7FFFFFFF) or 1
-    cues, first_cue = 0, False
-    marks = _ASCII_MARKS if low.isascii() else _MARKS
-    if any(c in low for c in marks) or (LOST in low and _CUE.search(low)):
+    if n == 1:
+        only = (xxhash.xxh3_64_intdigest(low) & 0x7FFFFFFF) or 1
+    elif len(set(words)) * 2 <= len(words) and len(sentences := set(_SENTENCE.split(low))) == 1:
+        only = (xxhash.xxh3_64_intdigest(sentences.pop()) & 0x7FFFFFFF) or 1
+    cues, first_cue, marked = 0, False, has_mark(low)
+    if marked:
         found = [_cue_sentence(s) for s in _SENTENCE.split(line) if s]
         cues, first_cue = sum(found), found[0]
-    packed = line_residue(line) | plain << 1 | first_cue << 2 | _whole(distinct, 2) << 3 | _whole(len(words) - letters, 12) << 5 | _whole(len(words), 16) << 17 | _whole(cues, 14) << 33 | _whole(n, 15) << 47
+    packed = line_residue(line, low, marked) | plain << 1 | first_cue << 2 | min(distinct, 3) << 3 | min(other, 0xFFF) << 5 | min(n_words, 0xFFFF) << 17 | min(cues, 0x3FFF) << 33 | min(n, 0x7FFF) << 47
     return LineSigns(packed, only)
 
 
