@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from corpusmill.llm.boosting import BoostedTrees
-from corpusmill.llm.incremental import GROUP_LIMITS, BatchIndex, Rarity, banded, batch_duplicates, close_pairs, copy_pairs, core_title, letters, piece_keys, same_title, site_names, title_copy_keys, url_keys
+from corpusmill.llm.incremental import GROUP_LIMITS, BatchIndex, Rarity, banded, batch_duplicates, close_pairs, copy_pairs, core_title, letters, piece_keys, same_title, site_names
 from corpusmill.llm.mixing import mix_sources, rake
 from corpusmill.llm.quality import FEATURES, HOLDOUT, junk_probability, text_statistics
 from corpusmill.llm.tokens import Encoder, Transducer, encode_corpus, load_ranks, merge_word, token_counts, vocabulary_path
@@ -102,18 +102,39 @@ def test_large_groups_give_the_same_pairs(spark):
 def test_index_of_batches(spark, tmp_path):
     seen, hashes = make_batches(random.Random(6), 150)
     sites = frozenset(["hoti post"])
-    index = BatchIndex(spark, str(tmp_path / "index"), buckets=4)
     rarity = Rarity([h[3] for h in hashes], len(hashes), sites)
+    index = BatchIndex(spark, f"file://{tmp_path}/index", rarity, buckets=4)
     got = set()
     for batch in range(5):
         s = spark.createDataFrame([r for r in seen if r[5] == batch], SEEN)
         h = spark.createDataFrame([r for r in hashes if r[5] == batch], HASHES)
-        copies, pieces = url_keys(s).union(title_copy_keys(h, sites)), piece_keys(h, rarity)
+        index = BatchIndex(spark, index.path)  # opened again, with the stored rarity and buckets
+        new = index.hashed(s, h)
         if batch:
-            got |= {tuple(r) for r in index.candidates(copies, pieces)[0].collect()}
-        index.append(copies, pieces)
-    every = url_keys(spark.createDataFrame([r for r in seen if r[5] is not None], SEEN)).union(title_copy_keys(spark.createDataFrame([r for r in hashes if r[5] is not None], HASHES), sites))
-    assert got == {tuple(r) for r in copy_pairs(every, every).collect()}
+            got |= {tuple(r) for r in index.duplicates(new).collect()}
+        index.append(new)
+    kept = [r for r in seen if r[5] is not None], [r for r in hashes if r[5] is not None]
+    assert index.buckets == 4 and got == brute_pairs(*kept, sites) and len(got) > 20
+
+
+def test_stored_side_is_not_moved(spark, tmp_path):
+    index = BatchIndex(spark, f"file://{tmp_path}/index", Rarity([], 0, frozenset()), buckets=4)
+    seen, hashes = make_batches(random.Random(7), 60)
+    new = index.hashed(spark.createDataFrame(seen, SEEN), spark.createDataFrame(hashes, HASHES))
+    index.append(new)
+    for found, table in ((copy_pairs(new["copies"], index.stored("copies")), "copies"), (close_pairs(new["pieces"], index.stored("pieces")), "pieces")):
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        at = next(i for i, x in enumerate(plan) if "Scan parquet" in x and table in x)
+        depth = len(plan[at]) - len(plan[at].lstrip(" :+-"))
+        above = []  # the ancestors of the scan
+        for x in reversed(plan[:at]):
+            d = len(x) - len(x.lstrip(" :+-"))
+            if d < depth:
+                above.append(x)
+                depth = d
+        join = next(i for i, x in enumerate(above) if "Join" in x)
+        assert not any("Exchange" in x or "Sort" in x.split("(")[0] for x in above[:join]), "\n".join(plan)
+        assert "Bucketed: true" in plan[at]
 
 
 def test_titles():
