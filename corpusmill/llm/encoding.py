@@ -202,19 +202,18 @@ def repair(text: str | None, dictionaries: Dictionaries) -> tuple[str | None, bo
     """(text with its encoding restored where possible, whether characters of it come from a wrong decoding).
 
     The same chain is applied to all lines; only lines it changes enter the comparison. None and ''
-    come back unchanged. Chains are tried again on the result, for values garbled in several ways.
+    come back unchanged. Chains are tried again on the result, for values garbled in several ways,
+    until none saves anything; each pass shortens the description, so the passes end.
     """
     if not text or text.isascii():
         return text, False
     bad = LOST in text
-    for _ in range(3):
+    while True:
         best, gain = None, 0
         tried = {text}
         partly: dict[tuple, str] = {}
         controls = _controls(text)
         for chain in candidate_chains(text):
-            if gain * 10 > len(text) and any(real not in STEP_COST for _, real in chain):
-                continue  # so much valid UTF-8 isn't chance; readings that any bytes allow needn't be tried
             for k in range(len(chain)):  # steps shared by chains are taken once
                 if chain[: k + 1] not in partly:
                     partly[chain[: k + 1]] = _steps(partly[chain[:k]] if k else text, chain[k : k + 1])

@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from corpusmill.llm.tokens import token_counts
 from corpusmill.runtime import settle
 
-ROUNDS = 100
+#: Rounds of the fitting, and the change of any weight in a round from which it counts as settled.
+ROUNDS = 10_000
+SETTLED = 1e-6
 BINS = 1 << 14
 #: Cells that may reach the driver: sources x languages x topics.
 MAX_CELLS = 200_000
@@ -32,6 +34,7 @@ def rake(tokens: np.ndarray, source: np.ndarray, others: list[np.ndarray], share
 
     tokens, source and each of others have a value for each cell; share and cap one for each source.
     The mix is as large as the scarcest source allows at its cap. No weight exceeds its source's cap.
+    Weights that don't settle are an error, as the marginals would not be what they are said to be.
     """
     n = len(share)
     have = np.bincount(source, tokens, n)
@@ -50,9 +53,9 @@ def rake(tokens: np.ndarray, source: np.ndarray, others: list[np.ndarray], share
             now = np.bincount(o, w * tokens, len(goal))
             w = np.minimum(w * np.where(now > 0, goal / np.maximum(now, 1e-300), 1.0)[o], limit)
         w = _fit_capped(w, tokens, source, target, limit)
-        if np.abs(w - before).max() < 1e-9:
-            break
-    return w, total
+        if np.abs(w - before).max() < SETTLED:
+            return w, total
+    raise ArithmeticError(f"the weights still change by {np.abs(w - before).max():.2g} after {rounds} rounds")
 
 
 def _fit_capped(w: np.ndarray, tokens: np.ndarray, group: np.ndarray, target: np.ndarray, limit: np.ndarray) -> np.ndarray:
@@ -95,7 +98,10 @@ def mix_sources(docs: DataFrame, targets: DataFrame, topics: DataFrame | None =
     else:
         rows = rows.withColumn("_topic", F.lit(None).cast("string"))
     rows = rows.withColumn("_topic", F.coalesce("_topic", F.lit("")))
-    plan = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in targets.select("source", "target_share", "max_repeats").where("source is not null").limit(MAX_CELLS).collect()}
+    asked_for = targets.select("source", "target_share", "max_repeats").where("source is not null").limit(MAX_CELLS + 1).collect()
+    if len(asked_for) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} sources with a target")
+    plan = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in asked_for}
     names = sorted(plan)
     counted = token_counts(rows.where(F.col("_source").isin(names)).where("_text is not null and _text <> ''"), "_text", vocabulary)
     counted = settle(counted.where("n_tokens > 0").select("_id", "_source", "_lang", "_topic", "n_tokens", ((F.xxhash64("_id").bitwiseAND(F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))).alias("_u")))

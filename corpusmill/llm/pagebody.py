@@ -26,6 +26,8 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from operator import itemgetter
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm.encoding import Dictionaries, repair, train_dictionaries
-from corpusmill.llm.residue import LineSigns, has_slot, line_signs, residue_of_signs
+from corpusmill.llm.residue import LineSigns, has_slot, is_quiet, pack_signs, residue_of_signs
 from corpusmill.runtime import checked_broadcast, settle, ship
 
 #: Different pages of a source on which a pattern stands before it counts as coming back, and their share of its pages.
@@ -46,6 +48,7 @@ ANCHOR_LETTERS = 36
 BEFORE, AFTER, INSIDE, ELSEWHERE = 0.65, 0.8, 0.65, 0.02
 
 LOST = "�"
+_chars = itemgetter(1)
 _SEPARATORS = (" | ", " · ", " > ", " • ", " / ", " – ", " — ")
 _ENDS = frozenset(".!?…。！？:;")
 _CLOSERS = "\"”“»’'„)]� "
@@ -63,9 +66,8 @@ def is_ended(line: str) -> bool:
     return line.rstrip(_CLOSERS)[-1:] in _ENDS or (line[0] in _QUOTED and line[-1] in _CLOSERS)
 
 
-def pattern(line: str, ended: bool, tags: int) -> str:
-    """What a line has in common with those that differ in case, digits, the order of short items or what follows a label."""
-    low = line.casefold()
+def pattern(low: str, ended: bool, tags: int) -> str:
+    """What a line in lower case has in common with those that differ in digits, the order of short items or what follows a label."""
     if not low.isalpha():
         low = _DIGITS.sub("0", low)
     if ended or len(low) >= 160:
@@ -75,33 +77,52 @@ def pattern(line: str, ended: bool, tags: int) -> str:
     return " ".join(sorted(_WORDS.findall(low))) if tags >= 3 and len(low) < 120 else low
 
 
-@dataclass(frozen=True)
-class Line:
-    """key: hash of the pattern; kinds: ANCHOR, ITEM, ENDED, NAMED and what problem 5 sees in it."""
+class Line(NamedTuple):
+    """key: hash of the pattern; kinds: ANCHOR, ITEM, ENDED, NAMED, FIXED; packed and only: what problem 5 sees in it (LineSigns)."""
 
     key: int
     chars: int
     tags: int
     kinds: int
-    signs: LineSigns
+    packed: int
+    only: int
 
 
 ENDED, ANCHOR, ITEM, FIXED, NAMED = 1, 2, 4, 8, 16
+_MARKS = re.compile("[|·>•/–—]")
+_HAS_DIGIT = re.compile("[0-9]")
 
 
 @lru_cache(maxsize=60_000)
-def read_line(x: str) -> Line:
+def read_line(x: str, quiet: bool = False) -> Line:
     """Of a line with white space collapsed, not empty. FIXED: residue, never furniture; NAMED: may be a byline or subheading."""
-    found = [x.count(s) for s in _SEPARATORS] if any(s in x for s in "|·>•/–—") else [0] * len(_SEPARATORS)
-    tags = 1 + sum(found)
-    weight = len(x) if x.isascii() else len(x) + 2 * len(_HANGUL.findall(x))
+    low = x.casefold()
+    packed, only = pack_signs(x, low, quiet)
+    ascii_ = x.isascii()
+    weight = len(x) if ascii_ else len(x) + 2 * len(_HANGUL.findall(x))
     ended = is_ended(x)
-    item = not ended and _LIST_ITEM.match(x) is not None
-    signs = line_signs(x)
-    anchor = not ended and not signs.residue and (sum(found[:5]) >= 2 or _TIMED.match(x) is not None or (weight >= ANCHOR_LETTERS and not item and x.count(" ") >= 3))
-    named = not ended and not anchor and " " in x and not _DIGITS.search(x)
-    kinds = ended * ENDED | anchor * ANCHOR | item * ITEM | signs.residue * FIXED | named * NAMED
-    return Line(xxhash.xxh3_64_intdigest(pattern(x, ended, tags)) - (1 << 63), weight, tags, kinds, signs)
+    tags, split = 1, 0
+    if _MARKS.search(x):
+        found = [x.count(s) for s in _SEPARATORS]
+        tags, split = 1 + sum(found), sum(found[:5])
+    kinds = ENDED if ended else 0
+    if packed & 1:
+        kinds |= FIXED
+    if not ended:
+        item = _LIST_ITEM.match(x) is not None
+        spaces = x.count(" ")
+        if not packed & 1 and (split >= 2 or (weight >= ANCHOR_LETTERS and not item and spaces >= 3) or _TIMED.match(x) is not None):
+            kinds |= ANCHOR
+        elif spaces and not (_HAS_DIGIT.search(x) if ascii_ else _DIGITS.search(x)):
+            kinds |= NAMED
+        if item:
+            kinds |= ITEM
+    return Line(xxhash.xxh3_64_intdigest(pattern(low, ended, tags)) - (1 << 63), weight, tags, kinds, packed, only)
+
+
+def read_lines(lines: list[str], at: list[int]) -> list[Line]:
+    quiet = is_quiet("\n".join(lines))
+    return [read_line(lines[i], quiet) for i in at]
 
 
 def density(chars: float, tags: int, link_chars: float, link_tags: int, body_chars: float, body_links: float) -> float:
@@ -164,10 +185,10 @@ def read_page(body: str, back: frozenset[int] = frozenset(), named: frozenset[in
     """
     lines = [" ".join(x.split()) for x in body.split("\n")]
     at = [i for i, x in enumerate(lines) if x]
-    facts = [read_line(lines[i]) for i in at]
+    facts = read_lines(lines, at)
     kept = _kept(facts, back, named)
     own = [i for i, k in zip(at, kept, strict=True) if k]
-    return Page(lines, own, [i for i, k in zip(at, kept, strict=True) if not k], residue_of_signs([(f.key, f.signs) for f, k in zip(facts, kept, strict=True) if k]))
+    return Page(lines, own, [i for i, k in zip(at, kept, strict=True) if not k], residue_of_signs([(f.key, LineSigns(f.packed, f.only)) for f, k in zip(facts, kept, strict=True) if k]))
 
 
 def _kept(facts: list[Line], back: frozenset[int], named: frozenset[int]) -> list[bool]:
@@ -199,19 +220,26 @@ def _facts(docs: DataFrame, samples: DataFrame, body_col: str, source_col: str |
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = shared.value
         for b in batches:
-            out: list[tuple] = []
+            slots, context, open_keys, numbers, facts, text = [], [], [], [], [], []
+            size, open_size = [0], [0]
             for title, body in zip(b.column(n + 1).to_pylist(), b.column(n + 2).to_pylist(), strict=True):
-                slot = title_col is not None and (has_slot(title) or has_slot(body))
+                slots.append(title_col is not None and (has_slot(title) or has_slot(body)))
                 lines = [" ".join(x.split()) for x in repair(body, d)[0].split("\n")] if body else []
                 at = [i for i, x in enumerate(lines) if x]
-                facts = [read_line(lines[i]) for i in at]
-                longest = max(facts, key=lambda f: f.chars).key if facts else 0
-                open_keys = list({f.key for f in facts if not f.kinds & (ANCHOR | ITEM | FIXED)})
-                out.append((slot, longest, open_keys, at, [f.key for f in facts], [f.chars for f in facts], [f.tags for f in facts], [f.kinds for f in facts], [f.signs.packed for f in facts], [f.signs.only for f in facts], [lines[i] for i in at] if with_text else None))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 11
-            i32, i64 = pa.list_(pa.int32()), pa.list_(pa.int64())
-            kinds = (pa.bool_(), pa.int64(), i64, i32, i64, i32, i32, i32, i64, i32, pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n + 1)), b.column(n + 3), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)
+                found = read_lines(lines, at)
+                context.append(max(found, key=_chars).key if found else 0)
+                open_keys += {f.key for f in found if not f.kinds & (ANCHOR | ITEM | FIXED)}
+                numbers += at
+                facts += found
+                if with_text:
+                    text += [lines[i] for i in at]
+                size.append(len(facts))
+                open_size.append(len(open_keys))
+            ends = pa.array(size, pa.int32())
+            cols = list(zip(*facts, strict=True)) or [[]] * 6
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c, k)) for c, k in zip((numbers, *cols), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)]
+            lists.append(pa.ListArray.from_arrays(ends, pa.array(text, pa.string())) if with_text else pa.nulls(len(slots), pa.list_(pa.string())))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n + 1)), b.column(n + 3), pa.array(slots, pa.bool_()), pa.array(context, pa.int64()), pa.ListArray.from_arrays(pa.array(open_size, pa.int32()), pa.array(open_keys, pa.int64())), *lists], names=names)
 
     fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
     rest = T._parse_datatype_string("src string, rid bigint, slot boolean, context bigint, open array<bigint>, at array<int>, key array<bigint>, chars array<int>, tags array<int>, kinds array<int>, packed array<bigint>, only array<int>, text array<string>")

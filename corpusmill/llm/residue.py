@@ -77,6 +77,7 @@ _CUES = (*FILLER, *ERRORS, *SCRIPTS)
 _CUE = re.compile("|".join(map(_tolerant, _CUES)))
 _CODE = re.compile(CODES)
 _SLOT_MARK = re.compile(r"[{%\[<@$]|__|XX|TODO|&lt;")
+_QUIET_MARKS = ("{", "%", "[", "<", "@", "$", "__", "XX", "TODO", "&lt;", LOST)
 _WORDS = re.compile(r"[^\W_]+")
 _DIGITS = re.compile(r"\d+")
 _SENTENCE = re.compile(r"(?<=[.!?。])\s+")
@@ -128,7 +129,7 @@ def line_residue(line: str, low: str | None = None, marked: bool | None = None)
     return _CODE.fullmatch(low) is not None
 
 
-@dataclass(frozen=True)
+@dataclass(slots=True)
 class LineSigns:
     """What the rules see in one line, as numbers that travel instead of the text.
 
@@ -151,13 +152,15 @@ class LineSigns:
     sentences = property(lambda self: self.packed >> 47 & 0x7FFF)
 
 
-def _whole(n: int, bits: int) -> int:
-    return min(n, (1 << bits) - 1)
+def line_signs(line: str, quiet: bool = False) -> LineSigns:
+    """The signs of a line with white space collapsed, not empty; its words are what white space parts.
+
+    quiet: the text the line is from holds no mark of a cue and no mark of a slot.
+    """
+    return LineSigns(*pack_signs(line, line.casefold(), quiet))
 
 
-def line_signs(line: str) -> LineSigns:
-    """The signs of a line with white space collapsed, not empty; its words are what white space parts."""
-    low = line.casefold()
+def pack_signs(line: str, low: str, quiet: bool) -> tuple[int, int]:
     words = low.split(" ")
     n_words, other, distinct = len(words), 0, 0
     plain = not FUNCTION_WORDS.isdisjoint(words) or (not line.isascii() and (len(line.encode()) - len(line)) * 10 > len(line))
@@ -172,12 +175,19 @@ def line_signs(line: str) -> LineSigns:
         only = (xxhash.xxh3_64_intdigest(low) & 0x7FFFFFFF) or 1
     elif len(set(words)) * 2 <= len(words) and len(sentences := set(_SENTENCE.split(low))) == 1:
         only = (xxhash.xxh3_64_intdigest(sentences.pop()) & 0x7FFFFFFF) or 1
-    cues, first_cue, marked = 0, False, has_mark(low)
+    packed = plain << 1 | min(distinct, 3) << 3 | min(other, 0xFFF) << 5 | min(n_words, 0xFFFF) << 17 | min(n, 0x7FFF) << 47
+    if quiet:
+        return packed | (len(line) <= 240 and _CODE.fullmatch(low) is not None), only
+    marked = has_mark(low)
     if marked:
         found = [_cue_sentence(s) for s in _SENTENCE.split(line) if s]
-        cues, first_cue = sum(found), found[0]
-    packed = line_residue(line, low, marked) | plain << 1 | first_cue << 2 | min(distinct, 3) << 3 | min(other, 0xFFF) << 5 | min(n_words, 0xFFFF) << 17 | min(cues, 0x3FFF) << 33 | min(n, 0x7FFF) << 47
-    return LineSigns(packed, only)
+        packed |= found[0] << 2 | min(sum(found), 0x3FFF) << 33
+    return packed | line_residue(line, low, marked), only
+
+
+def is_quiet(text: str) -> bool:
+    """Whether no line of a text holds a mark of a cue or a slot, so that all are quiet."""
+    return not any(m in text for m in _QUIET_MARKS) and not has_mark(text.casefold())
 
 
 def residue_of_signs(signs: list[tuple[int, LineSigns]], foreign: bool = False) -> bool:
@@ -191,6 +201,8 @@ def residue_of_signs(signs: list[tuple[int, LineSigns]], foreign: bool = False)
     if not signs:
         return False
     own = [s for _, s in signs]
+    if not any(s.packed & (1 | 0x3FFF << 33) for s in own) and any(s.packed & 2 for s in own) and not (own[0].only and own[-1].only == own[0].only):
+        return False  # nothing of what follows
     if any(s.residue for s in own[:2]) and (all(s.residue for s in own) or sum(s.words for s in own) <= ERROR_PAGE_WORDS):
         return True
     if own[0].only and all(s.only == own[0].only for s in own) and sum(s.sentences for s in own) >= 3:
