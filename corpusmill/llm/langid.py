@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.encoding import reference_texts
-from corpusmill.llm.pagebody import LOST, is_ended, read_pages
+from corpusmill.llm.pagebody import LOST, is_ended, read_pages, slices, unpack
 from corpusmill.runtime import ship
 
 ORDER = 5
@@ -306,7 +306,7 @@ def train_models(samples: DataFrame, language_col: str = "language", text_col: s
     return LanguageModels(texts)
 
 
-def own_languages(pages: Iterable[tuple[list[int] | None, list[bool] | None, list[str] | None, bool]], models: LanguageModels) -> Iterator[tuple[int, int, str, float, int]]:
+def own_languages(pages: Iterable[tuple[list[int], list[bool], bytes | None, bool]], models: LanguageModels) -> Iterator[tuple[int, int, str, float, int]]:
     """(index of the page, line number or 0 for the whole, code, confidence, letters) of pages as read_pages gives them.
 
     Whole texts that are in none of the languages and lines that are too short or in none have no row.
@@ -315,9 +315,10 @@ def own_languages(pages: Iterable[tuple[list[int] | None, list[bool] | None, lis
     lines: list[str] = []
     for i, (numbers, kept, text, residue) in enumerate(pages):
         if numbers and not residue:
+            whole = unpack(text)
             own = [k for k, x in enumerate(kept) if x]
             at += [(i, numbers[k] + 1) for k in own]
-            lines += [text[k] for k in own]
+            lines += [whole[k] for k in own]
     if not lines:
         return
     sums, letters = models.line_scores(lines)
@@ -368,7 +369,7 @@ def document_languages(docs: DataFrame, samples: DataFrame, id_col: str = "artic
     n = len(names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2_000):
             found = list(own_languages(zip(*(b.column(n + i).to_pylist() for i in range(4)), strict=True), shared.value))
             cols = list(zip(*found, strict=True)) if found else [[]] * 5
             take = pa.array(cols[0], pa.int64())
@@ -388,7 +389,7 @@ def wrong_languages(docs: DataFrame, samples: DataFrame, id_col: str = "article_
     shared = spark.sparkContext.broadcast(train_models(samples))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2_000):
             labels = b.column(1).to_pylist()
             rows, numbers, codes = [], [], []
             main = ""

@@ -31,6 +31,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -208,6 +209,18 @@ def _links(keys: list[int], kinds: list[int], back: frozenset[int], named: froze
 # ---- over all pages ----
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows, as texts of any length are taken out of them."""
+    for b in batches:
+        for at in range(0, max(b.num_rows, 1), rows):
+            yield b.slice(at, rows)
+
+
+def unpack(text: bytes | None) -> list[str]:
+    """The lines of a page's text as read_pages gives it."""
+    return zstandard.decompress(text).decode().split("\n") if text else []
+
+
 def _facts(docs: DataFrame, samples: DataFrame, body_col: str, source_col: str | None, carry: tuple[str, ...], title_col: str | None, with_text: bool, dictionaries: Dictionaries | None) -> DataFrame:
     """One settled row of each row of docs with the facts of its lines; texts are read and restored once, here."""
     spark = docs.sparkSession
@@ -219,7 +232,8 @@ def _facts(docs: DataFrame, samples: DataFrame, body_col: str, source_col: str |
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = shared.value
-        for b in batches:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in slices(batches):
             slots, context, open_keys, numbers, facts, text = [], [], [], [], [], []
             size, open_size = [0], [0]
             for title, body in zip(b.column(n + 1).to_pylist(), b.column(n + 2).to_pylist(), strict=True):
@@ -232,17 +246,17 @@ def _facts(docs: DataFrame, samples: DataFrame, body_col: str, source_col: str |
                 numbers += at
                 facts += found
                 if with_text:
-                    text += [lines[i] for i in at]
+                    text.append(pack("\n".join(lines[i] for i in at).encode()) if at else b"")
                 size.append(len(facts))
                 open_size.append(len(open_keys))
             ends = pa.array(size, pa.int32())
             cols = list(zip(*facts, strict=True)) or [[]] * 6
             lists = [pa.ListArray.from_arrays(ends, pa.array(c, k)) for c, k in zip((numbers, *cols), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)]
-            lists.append(pa.ListArray.from_arrays(ends, pa.array(text, pa.string())) if with_text else pa.nulls(len(slots), pa.list_(pa.string())))
+            lists.append(pa.array(text, pa.binary()) if with_text else pa.nulls(len(slots), pa.binary()))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n + 1)), b.column(n + 3), pa.array(slots, pa.bool_()), pa.array(context, pa.int64()), pa.ListArray.from_arrays(pa.array(open_size, pa.int32()), pa.array(open_keys, pa.int64())), *lists], names=names)
 
     fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
-    rest = T._parse_datatype_string("src string, rid bigint, slot boolean, context bigint, open array<bigint>, at array<int>, key array<bigint>, chars array<int>, tags array<int>, kinds array<int>, packed array<bigint>, only array<int>, text array<string>")
+    rest = T._parse_datatype_string("src string, rid bigint, slot boolean, context bigint, open array<bigint>, at array<int>, key array<bigint>, chars array<int>, tags array<int>, kinds array<int>, packed array<bigint>, only array<int>, text binary")
     schema = T.StructType([*fields, *rest.fields])
     names = schema.names
     return settle(rows.mapInArrow(run, schema))
@@ -269,7 +283,7 @@ def named_patterns(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 5_000):
             counts: Counter[tuple[str, int, int]] = Counter()
             for src, key, chars, tags, kinds, back in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
                 back = frozenset(back or ())
@@ -309,7 +323,7 @@ def read_pages(docs: DataFrame, samples: DataFrame, body_col: str = "body", sour
     """(c0, c1... carried columns, slot, at, kept, residue[, text]) of each row of docs.
 
     at: indexes of the non-empty lines (from 0), kept: whether each is own text, text: the lines,
-    restored; all empty for null and empty bodies. residue: filler, an error message, a demand for
+    restored and compressed (unpack); all empty for null and empty bodies. residue: filler, an error message, a demand for
     scripts or slots stand in place of a text. slot: title or body have an open slot (with title_col).
     """
     facts = _facts(docs, samples, body_col, source_col, carry, title_col, with_text, dictionaries)
@@ -323,7 +337,7 @@ def read_pages(docs: DataFrame, samples: DataFrame, body_col: str = "body", sour
     n = len(given)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             kept, residue = [], []
             for key, chars, tags, kinds, packed, only, back, named, foreign in zip(*(b.column(n + i).to_pylist() for i in range(9)), strict=True):
                 mask = [False] * len(key)
@@ -358,8 +372,15 @@ def main_bodies(docs: DataFrame, samples: DataFrame, body_col: str = "body", sou
     Repeated rows stay and other columns but main_body are untouched.
     """
     docs = docs.drop("main_body")
-    pages = read_pages(docs, samples, body_col, source_col, tuple(docs.columns), with_text=True)
-    own = F.array_join(F.transform(F.filter(F.arrays_zip("text", "kept"), lambda x: x["kept"]), lambda x: x["text"]), "\n")
-    names = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    body = F.col(f"c{docs.columns.index(body_col)}")
-    return pages.select(*names, F.when(body.isNotNull() & ~F.col("residue"), own).alias("main_body"))
+    names = docs.columns
+    pages = read_pages(docs, samples, body_col, source_col, tuple(names), with_text=True)
+    at, n = names.index(body_col), len(names)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            null = b.column(at).is_null().to_pylist()
+            own = [None if x or r else "\n".join(t for t, k in zip(unpack(z), kept, strict=True) if k) for x, z, kept, r in zip(null, *(b.column(n + i).to_pylist() for i in range(3)), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(own, pa.string())], names=[*names, "main_body"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("main_body", T.StringType())])
+    return pages.select(*(f"c{i}" for i in range(n)), "text", "kept", "residue").mapInArrow(run, schema)

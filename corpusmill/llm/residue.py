@@ -22,6 +22,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -353,24 +354,31 @@ def table_keys(fingerprint: int) -> list[int]:
     return [k << 40 | parts[a] << 12 | parts[b] for k, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
 
 
-CLASS_SCHEMA = "class bigint, n_shingles int, prefix array<bigint>, n_words int, own string"
+CLASS_SCHEMA = "class bigint, n_shingles int, prefix array<bigint>, n_words int, own binary"
+
+
+def unpack_own(own: bytes) -> list[str]:
+    """The words of a page's own text as page_classes gives it."""
+    return zstandard.decompress(own).decode().split(" ")
 
 
 def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id", title_col: str = "title", body_col: str = "body", source_col: str | None = "source") -> DataFrame:
-    """(id, slot, residue, class, n_shingles, prefix, n_words, own) of each row; own is the page's own text, as the words that are compared."""
+    """(id, slot, residue, class, n_shingles, prefix, n_words, own) of each row; own is the page's own text, compressed, as the words that are compared."""
     from pyspark.sql import types as T
 
-    from corpusmill.llm.pagebody import read_pages
+    from corpusmill.llm.pagebody import read_pages, slices, unpack
 
     pages = read_pages(docs, samples, body_col, source_col, (id_col,), title_col, with_text=True)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [normal_words(" ".join(x for x, k in zip(lines, kept, strict=True) if k)) if lines else [] for lines, kept in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in slices(batches):
+            texts = [normal_words(" ".join(x for x, k in zip(unpack(text), kept, strict=True) if k)) if text else [] for text, kept in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
             own = [" ".join(words) for words in texts]
             classes = pa.array([xxhash.xxh3_64_intdigest(x) - (1 << 63) if x else None for x in own], pa.int64())
             size, keys = batch_prefixes(texts)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), classes, pa.array(size), keys, pa.array([len(x) for x in texts], pa.int32()), pa.array(own, pa.string())], names=names)
+            packed = pa.array([pack(x.encode()) if x else None for x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), classes, pa.array(size), keys, pa.array([len(x) for x in texts], pa.int32()), packed], names=names)
 
     rest = T._parse_datatype_string("slot boolean, residue boolean, " + CLASS_SCHEMA)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *rest.fields])
@@ -379,11 +387,11 @@ def page_classes(docs: DataFrame, samples: DataFrame, id_col: str = "article_id"
 
 
 def _class_prefixes(own: DataFrame) -> DataFrame:
-    """(class, n_shingles, prefix) of (class, own)."""
+    """(class, n_shingles, prefix) of (class, own), own as page_classes gives it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, keys = batch_prefixes([x.split() for x in b.column(1).to_pylist()])
+            size, keys = batch_prefixes([unpack_own(x) for x in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), keys], names=["class", "n_shingles", "prefix"])
 
     return own.select("class", "own").mapInArrow(run, "class bigint, n_shingles int, prefix array<bigint>")
@@ -413,7 +421,7 @@ def spread_labels(pages: DataFrame, texts) -> DataFrame:
 
         def similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                keep = [jaccard(shingles(x.split()), shingles(y.split())) >= SIMILARITY for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+                keep = [jaccard(shingles(unpack_own(x)), shingles(unpack_own(y))) >= SIMILARITY for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0)], names=["class"]).filter(pa.array(keep, pa.bool_()))
 
         joined = pairs.join(own, "class").join(own.select(F.col("class").alias("from_class"), F.col("own").alias("from_own")), "from_class")

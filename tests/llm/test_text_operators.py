@@ -5,12 +5,14 @@ import re
 from collections import defaultdict
 
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from corpusmill.llm.encoding import CHARS, Dictionaries, garbled_fields, repair, restored
 from corpusmill.llm.langid import LanguageModels, document_languages, label_language, wrong_languages
 from corpusmill.llm.pagebody import body_lines, main_bodies, read_page
 from corpusmill.llm.repeated import frequent_lines, repeated_lines, without_repeated_lines
-from corpusmill.llm.residue import batch_fingerprints, has_slot, jaccard, page_classes, residue_pages, residue_text, shingles, simhash, table_keys, without_residue
+from corpusmill.llm.residue import batch_fingerprints, has_slot, jaccard, page_classes, residue_labels, residue_pages, residue_text, shingles, simhash, table_keys, without_residue
 
 SAMPLES = {
     "en": ["The council approved the plan for the bridge after a long debate on Tuesday evening.", "Residents waited outside while the museum presented its report about the old mill."] * 4,
@@ -200,6 +202,19 @@ def test_near_copies_of_residue_are_found(spark, samples):
     assert page_classes(docs, samples).where("class is null").count() == 3
 
 
+def packed(spark, texts):
+    return spark.createDataFrame([(i, zstandard.compress(t.encode())) for i, t in texts.items()], "class bigint, own binary")
+
+
+def test_spread_from_a_part_of_the_labels(spark, samples):
+    rng = random.Random(11)
+    notice = "Page not found. The editors moved the page about the {} to the archive of the year {} and keep no address of it here for the readers of this site, who may look for it in the index of all pages or ask the desk."
+    rows = [(f"e{i}", "t", notice.format("old mill", 1900 + i), "s", "en", "") for i in range(30)] + [(f"r{i}", "t", " ".join(rng.sample(SAMPLES["en"], 4)) + f" Part {rng.random()}.", "s", "en", "") for i in range(20)]
+    docs = articles(spark, rows)
+    got = residue_labels(docs, samples, trusted=F.col("article_id") == "e7").collect()
+    assert {r.article_id for r in got if r.seed} == {"e7"} and {r.article_id for r in got if r.spread} == {f"e{i}" for i in range(30)}
+
+
 def test_labels_spread_through_components(spark):
     from corpusmill.llm.residue import spread_labels
 
@@ -214,7 +229,7 @@ def test_labels_spread_through_components(spark):
     texts = {i: " ".join(t) for i, t in enumerate([*chain, other])}
     rows = [(i, i == 0, simhash(shingles(t.split()))) for i, t in texts.items()]
     pages = spark.createDataFrame(rows, "class bigint, residue boolean, simhash bigint")
-    own = spark.createDataFrame(list(texts.items()), "class bigint, own string")
+    own = packed(spark, texts)
     got = {r[0] for r in spread_labels(pages, lambda wanted: own.join(wanted, "class", "left_semi")).collect()}
     near = {0}
     for i in range(1, 5):  # brute force over links
@@ -242,7 +257,7 @@ def test_labels_reach_every_text_at_the_similarity(spark):
     while more := {j for i, j in links if i in want} - want:
         want |= more
     pages = spark.createDataFrame([(i, i in labelled) for i in texts], "class bigint, residue boolean")
-    own = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "class bigint, own string")
+    own = packed(spark, {i: " ".join(t) for i, t in texts.items()})
     got = {r[0] for r in spread_labels(pages, lambda wanted: own.join(wanted, "class", "left_semi")).collect()}
     assert got == want and len(labelled) < len(want) < len(texts)
 
@@ -257,7 +272,7 @@ def test_labels_follow_long_chains(spark):
         own[i] = " ".join(words)
         words = [*words[5:], *(f"w{rng.randrange(10**6)}" for _ in range(5))]
     pages = spark.createDataFrame([(i, i == 0) for i in own], "class bigint, residue boolean")
-    texts = spark.createDataFrame(list(own.items()), "class bigint, own string")
+    texts = packed(spark, own)
     assert spread_labels(pages, lambda wanted: texts.join(wanted, "class", "left_semi")).count() == 24
 
 
