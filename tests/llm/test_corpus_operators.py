@@ -8,7 +8,7 @@ import pytest
 from corpusmill.llm.boosting import BoostedTrees
 from corpusmill.llm.incremental import GROUP_LIMITS, BatchIndex, Rarity, banded, batch_duplicates, close_pairs, copy_pairs, core_title, letters, piece_keys, same_title, site_names
 from corpusmill.llm.mixing import mix_sources, rake
-from corpusmill.llm.quality import FEATURES, HOLDOUT, junk_probability, text_statistics
+from corpusmill.llm.quality import CALIBRATION, CHECK, FEATURES, HOLDOUT, calibration_error, fit_quality, junk_probability, text_statistics, weak_labels
 from corpusmill.llm.tokens import Encoder, Transducer, encode_corpus, load_ranks, merge_word, token_counts, vocabulary_path
 
 SEEN = "url_hash string, normalized_url string, source_id string, article_id string, first_seen string, batch_no int, simhash string"
@@ -250,4 +250,17 @@ def test_quality_model_on_other_texts(spark):
     p = {r.doc_id: r.p_junk for r in junk_probability(docs(spark, rows)).collect()}
     truth = {i: i >= len(prose) for i in range(len(prose + junk))}
     assert sum((p[i] > 0.5) == t for i, t in truth.items()) / len(truth) > 0.97 and p[999] == 0
-    assert junk_probability(docs(spark, rows).limit(0)).count() == 0 and len(HOLDOUT) >= 40
+    assert junk_probability(docs(spark, rows).limit(0)).count() == 0 and len(HOLDOUT) >= 100
+    assert not {t for t, _ in CALIBRATION} & {t for t, _ in CHECK}
+    few = fit_quality(text_statistics(docs(spark, rows).where('doc_id < 30')))  # too few of a class: CHECK teaches, CALIBRATION tells
+    right, squared, gap = calibration_error(few, spark, CALIBRATION)
+    assert right > 0.85 and squared < 0.12 and gap < 0.2
+
+
+def test_signals_leave_a_part_to_the_trees(spark):
+    import numpy as np
+
+    x = np.array([[float(v) for v in r] for r in text_statistics(docs(spark, [(i, t, 's', None, None, None, None) for i, (t, _) in enumerate(HOLDOUT)])).orderBy('doc_id').select(*FEATURES).collect()])
+    weak = weak_labels(x)
+    truth = np.array([k for _, k in HOLDOUT])
+    assert (weak < 0).mean() > 0.1 and (weak == truth)[weak >= 0].mean() > 0.95
