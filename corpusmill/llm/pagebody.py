@@ -269,10 +269,9 @@ def patterns_that_come_back(pages: DataFrame) -> DataFrame:
     return settle(found.join(checked_broadcast(total), "src").where(F.col("n") >= MIN_SHARE * F.col("total")).select("src", "key"))
 
 
-def _with_keys(pages: DataFrame, keys: DataFrame, column: str, exploded: str) -> DataFrame:
-    """pages with an array of those of its keys (of the array column exploded) that are in keys."""
-    found = pages.select("rid", "src", F.explode(exploded).alias("key")).join(checked_broadcast(keys), ["src", "key"]).groupBy("rid").agg(F.collect_list("key").alias(column))
-    return pages.join(found, "rid", "left")
+def _keys_among(pages: DataFrame, keys: DataFrame, column: str, exploded: str) -> DataFrame:
+    """(rid, src, column): of each page the keys (of the array column exploded) that are in keys; pages without any are left out."""
+    return pages.select("rid", "src", F.explode(exploded).alias("key")).join(checked_broadcast(keys), ["src", "key"]).groupBy("rid", "src").agg(F.collect_list("key").alias(column))
 
 
 def named_patterns(pages: DataFrame) -> DataFrame:
@@ -327,11 +326,10 @@ def read_pages(docs: DataFrame, samples: DataFrame, body_col: str = "body", sour
     scripts or slots stand in place of a text. slot: title or body have an open slot (with title_col).
     """
     facts = _facts(docs, samples, body_col, source_col, carry, title_col, with_text, dictionaries)
-    small = facts.select("rid", "src", "open", "key", "chars", "tags", "kinds")
-    back = settle(_with_keys(small, patterns_that_come_back(facts), "back", "open"))
-    named = settle(named_patterns(back))
-    joined = _with_keys(back.where("back is not null").select("rid", "src", "back"), named, "named", "back")
-    pages = facts.join(joined.select("rid", "back", "named"), "rid", "left").join(checked_broadcast(foreign_sources(facts)), "src", "left")
+    back = settle(_keys_among(facts, patterns_that_come_back(facts), "back", "open"))
+    named = settle(named_patterns(facts.select("rid", "src", "key", "chars", "tags", "kinds").join(back.select("rid", "back"), "rid")))
+    names = _keys_among(back, named, "named", "back").select("rid", "named")
+    pages = facts.join(back.select("rid", "back").join(names, "rid", "left"), "rid", "left").join(checked_broadcast(foreign_sources(facts)), "src", "left")
     cols = [c for c in facts.columns if c.startswith("c") and c[1:].isdigit()]
     given = [*cols, "slot", "at", *(["text"] if with_text else [])]
     n = len(given)
