@@ -109,10 +109,8 @@ def test_index_of_batches(spark, tmp_path):
         s = spark.createDataFrame([r for r in seen if r[5] == batch], SEEN)
         h = spark.createDataFrame([r for r in hashes if r[5] == batch], HASHES)
         index = BatchIndex(spark, index.path)  # opened again, with the stored rarity and buckets
-        new = index.hashed(s, h)
-        if batch:
-            got |= {tuple(r) for r in index.duplicates(new).collect()}
-        index.append(new)
+        index.append(batch, s, h)
+        got |= {tuple(r) for r in index.duplicates(batch).collect()}
     kept = [r for r in seen if r[5] is not None], [r for r in hashes if r[5] is not None]
     assert index.buckets == 4 and got == brute_pairs(*kept, sites) and len(got) > 20
 
@@ -120,21 +118,24 @@ def test_index_of_batches(spark, tmp_path):
 def test_stored_side_is_not_moved(spark, tmp_path):
     index = BatchIndex(spark, f"file://{tmp_path}/index", Rarity([], 0, frozenset()), buckets=4)
     seen, hashes = make_batches(random.Random(7), 60)
-    new = index.hashed(spark.createDataFrame(seen, SEEN), spark.createDataFrame(hashes, HASHES))
-    index.append(new)
-    for found, table in ((copy_pairs(new["copies"], index.stored("copies")), "copies"), (close_pairs(new["pieces"], index.stored("pieces")), "pieces")):
-        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
-        at = next(i for i, x in enumerate(plan) if "Scan parquet" in x and table in x)
-        depth = len(plan[at]) - len(plan[at].lstrip(" :+-"))
-        above = []  # the ancestors of the scan
-        for x in reversed(plan[:at]):
-            d = len(x) - len(x.lstrip(" :+-"))
-            if d < depth:
-                above.append(x)
-                depth = d
-        join = next(i for i, x in enumerate(above) if "Join" in x)
-        assert not any("Exchange" in x or "Sort" in x.split("(")[0] for x in above[:join]), "\n".join(plan)
-        assert "Bucketed: true" in plan[at]
+    for batch in (0, 1):
+        index.append(batch, spark.createDataFrame(seen, SEEN), spark.createDataFrame(hashes, HASHES))
+    for join, table in ((copy_pairs, "copies"), (close_pairs, "pieces")):
+        new, old = (index.stored(table).where(f"batch_no = {b}").drop("batch_no") for b in (1, 0))
+        plan = join(new, old)._jdf.queryExecution().executedPlan().toString().split("\n")
+        scans = [i for i, x in enumerate(plan) if "Scan parquet" in x and table in x]
+        assert len(scans) == 2
+        for at in scans:
+            assert "Bucketed: true" in plan[at] and "batch_no" in plan[at].split("PartitionFilters")[1]
+            depth = len(plan[at]) - len(plan[at].lstrip(" :+-"))
+            above = []  # the ancestors of the scan
+            for x in reversed(plan[:at]):
+                d = len(x) - len(x.lstrip(" :+-"))
+                if d < depth:
+                    above.append(x)
+                    depth = d
+            join_at = next(i for i, x in enumerate(above) if "Join" in x)
+            assert not any("Exchange" in x or "Sort " in x for x in above[:join_at]), "\n".join(plan)
 
 
 def test_titles():
