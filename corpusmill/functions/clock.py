@@ -41,22 +41,27 @@ def wall_instant(wall: Column, zone: Column) -> Column:
 
 
 def machine_instant(raw: Column, zone: Column | None = None) -> Column:
-    """The instant (timestamp) of raw; null where it fixes none, isn't in these forms, or needs a zone that is null. The session's zone must be UTC."""
-    t = F.regexp_replace(F.regexp_replace(raw, " ", " "), r"^\s+|\s+$", "")
-    digits = F.when(t.rlike(r"^\d+(\.\d+)?$"), t)
-    fraction = F.rpad(F.substring(F.regexp_extract(digits, r"\.(\d+)$", 1), 1, 6), 6, "0")
-    epoch = F.when(t.rlike(EPOCH), F.substring(t, 1, 10).try_cast("bigint") * 1_000_000 + fraction.try_cast("bigint"))
-    micros = F.coalesce(epoch, F.when(t.rlike(r"^\d{13}$"), t.try_cast("bigint") * 1000), F.when(t.rlike(r"^\d{16}$"), t.try_cast("bigint")))
+    """The instant (timestamp) of raw; null where it fixes none, isn't in these forms, or needs a zone that is null. The session's zone must be UTC.
+
+    The trimmed text is bound as the variable of a one-element transform: written out in every branch
+    it would outgrow what can be compiled.
+    """
+    trimmed = F.regexp_replace(F.replace(raw, F.lit("\u00a0"), F.lit(" ")), r"^\s+|\s+$", "")
+    return F.get(F.transform(F.array(trimmed), lambda t: _instant(t, zone)), F.lit(0))
+
+
+def _instant(t: Column, zone: Column | None) -> Column:
+    fraction = F.rpad(F.substring(F.regexp_extract(t, r"\.(\d+)$", 1), 1, 6), 6, "0")
     s = lambda a, n: F.substring(t, a, n)
     compact = F.concat(s(1, 4), F.lit("-"), s(5, 2), F.lit("-"), s(7, 2), F.lit(" "), s(10, 2), F.lit(":"), s(12, 2), F.lit(":"), s(14, 2), F.lit("+00:00"))
     month = F.lpad(((F.instr(F.lit("JanFebMarAprMayJunJulAugSepOctNovDec"), _part(t, MAIL, 2)) + 2) / 3).cast("int").cast("string"), 2, "0")
     mail = F.concat(_part(t, MAIL, 3), F.lit("-"), month, F.lit("-"), F.lpad(_part(t, MAIL, 1), 2, "0"), F.lit(" "), _part(t, MAIL, 4), _offset(_part(t, MAIL, 5)))
-    known = [
-        F.when(micros.isNotNull(), F.timestamp_micros(micros)),
-        F.when(t.rlike(COMPACT), compact.try_cast("timestamp")),
-        F.when(t.rlike(ZONED), F.concat(_iso(t, ZONED), _offset(_part(t, ZONED, 5))).try_cast("timestamp")),
-        F.when(t.rlike(MAIL), mail.try_cast("timestamp")),
-    ]
-    if zone is not None:
-        known.append(F.when(t.rlike(WALL) & zone.isNotNull(), wall_instant(_iso(t, WALL).try_cast("timestamp"), zone)))
-    return F.coalesce(*known)
+    found = (
+        F.when(t.rlike(ZONED), F.concat(_iso(t, ZONED), _offset(_part(t, ZONED, 5))).try_cast("timestamp"))
+        .when(t.rlike(EPOCH), F.timestamp_micros(s(1, 10).try_cast("bigint") * 1_000_000 + fraction.try_cast("bigint")))
+        .when(t.rlike(r"^\d{13}$"), F.timestamp_micros(t.try_cast("bigint") * 1000))
+        .when(t.rlike(r"^\d{16}$"), F.timestamp_micros(t.try_cast("bigint")))
+        .when(t.rlike(COMPACT), compact.try_cast("timestamp"))
+        .when(t.rlike(MAIL), mail.try_cast("timestamp"))
+    )
+    return found if zone is None else found.when(t.rlike(WALL) & zone.isNotNull(), wall_instant(_iso(t, WALL).try_cast("timestamp"), zone))

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 _CHROME = "script|style|nav|aside|footer|header|form|noscript|iframe|figure"
 
 
+# Named characters that pages write besides those of plain texts.
+PAGE_ENTITIES = (("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&middot;", "·"), ("&copy;", "©"))
+
+
 def _unescape(text: Column) -> Column:
     from corpusmill.functions.text import HTML_ENTITIES
 
-    for name, char in HTML_ENTITIES:
+    for name, char in (*PAGE_ENTITIES, *HTML_ENTITIES):
         text = F.replace(text, F.lit(name), F.lit(char))
     return text
 

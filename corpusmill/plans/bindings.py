@@ -96,8 +96,8 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
         "article_id", "url", "title", "body", "source",
         F.coalesce(F.nullif(F.lower(F.trim("category")), F.lit("")), F.lit("-1")).alias("topic"), "language",
         F.coalesce(F.nullif(F.regexp_extract(F.lower("language"), LANG, 1), F.lit("")), F.lit("und")).alias("lang"),
-        "word_count", "author", "content_hash", ts.alias("ts"), F.to_date(ts).alias("day"),
-    ).dropDuplicates(["article_id"])
+        "word_count", "author", "content_hash", ts.alias("ts"),
+    ).dropDuplicates(["article_id"]).withColumn("day", F.to_date("ts"))
 
 
 _measured: dict[tuple[str, str], bool] = {}

@@ -83,13 +83,6 @@ def entity_valid(spark, d):
     return articles(spark, d).select("article_id", X.entity_valid(F.col("author")).alias("ok"), F.when(F.length(F.trim(F.coalesce("author", F.lit("")))) <= 1, "").otherwise(F.col("author")).alias("kept"))
 
 
-@query(f"with {ART}, x as (select source, unnest(string_split(author, ' ')) as part, author from art where author is not null), l as (select source, lower(part) as k, arg_max(author, (length(author), author)) as name, count(*) as n from x group by all) select source, k, name, n from l where source is not null")
-def entity_dedup(spark, d):
-    """The longest of the names that share a word, by source."""
-    x = articles(spark, d).where("author is not null and source is not null").select("source", "author", F.explode(F.split("author", " ")).alias("part"))
-    return x.groupBy("source", F.lower("part").alias("k")).agg(F.max_by("author", F.struct(F.length("author"), "author")).alias("name"), F.count("*").alias("n"))
-
-
 @query(f"with {ART} select article_id, case when regexp_matches({_TEXT}, 'located in|district|border|구역') then 'located_in' when regexp_matches({_TEXT}, 'works at|spokesperson|director|portavoz') then 'works_at' else 'mentioned_with' end as relation from art")
 def relation_infer(spark, d):
     t = text_col()
@@ -341,11 +334,6 @@ def classify_layer(spark, d):
     return x.withColumn("ma_signal", F.lit(None).cast("string")).select("topic", signals.layer().alias("layer"))
 
 
-@query(f"with {ART} select distinct source, case when regexp_matches(source, 'o$|a$|i$') then 'T' when regexp_matches(source, 'sk$') then 'E' else 'E' end as steeps from art where source is not null")
-def steeps_fallback(spark, d):
-    return articles(spark, d).where("source is not null").select("source", F.when(F.col("source").rlike("o$|a$|i$"), "T").when(F.col("source").rlike("sk$"), "E").otherwise("E").alias("steeps")).distinct()
-
-
 _HITS = ", ".join(f"len(regexp_extract_all({_TEXT}, '{v}')) as {k}" for k, v in SECTORS.items())
 
 
@@ -397,37 +385,6 @@ def agg_value_counts(spark, d):
     return table(spark, d, "articles").groupBy("language").agg(F.count("*").alias("n"))
 
 
-@query("select count(*) as n from (select distinct * from seen_urls)")
-def agg_distinct_rows(spark, d):
-    return table(spark, d, "seen_urls").distinct().agg(F.count("*").alias("n"))
-
-
-_PAIRS = "ct as (select a.article_id, a.score, s.tz_name as c, a.source from sco a join sources s on s.source_id = a.source), tp as (select topic, day, split_part(tz_name, '/', 2) as place, avg(score) as score, count(*) as n from sco a join sources s on s.source_id = a.source where day is not null group by all)"
-
-
-@query(f"with {SCO}, {_PAIRS}, p as (select a.place as x, b.place as y, a.topic, a.day, (a.score + b.score) / 2 as s from tp a join tp b on a.topic = b.topic and a.day = b.day and a.place < b.place) select x || '-' || y as pair, count(*) as n, round(avg(s), 6) as tone from p group by x, y having count(*) >= 2")
-def gi1_bri(spark, d):
-    """Mean tone of what two places report on the same topic and day."""
-    s = R.checked_broadcast(table(spark, d, "sources").select(F.col("source_id").alias("source"), F.split_part("tz_name", F.lit("/"), F.lit(2)).alias("place")))
-    tp = scored(spark, d).where("day is not null").join(s, "source").groupBy("topic", "day", "place").agg(F.avg("score").alias("score"))
-    a, b = tp.toDF("topic", "day", "x", "sx"), tp.toDF("topic", "day", "y", "sy")
-    p = a.join(b, ["topic", "day"]).where("x < y").withColumn("s", (F.col("sx") + F.col("sy")) / 2)
-    return p.groupBy(X.pair_key(F.col("x"), F.col("y")).alias("pair")).agg(F.count("*").alias("n"), r6(F.avg("s"), "tone")).where("n >= 2")
-
-
-@query(
-    f"with {SCO}, b as (select source, count(*) as n, avg(score) as tone from sco group by source), f as (select source, -sum(p * log2(p)) as h from (select source, n / sum(n) over (partition by source) as p from (select source, steeps, count(*) as n from sco where steeps is not null group by all)) group by source), "
-    "g as (select source, count(distinct topic) as deg from sco group by source) select source, round(0.25 * n / max(n) over () + 0.3 * (coalesce(tone, 0) + 1) / 2 + 0.2 * least(1, coalesce(h, 0) / log2(6)) + 0.25 * deg / max(deg) over (), 6) as power from b left join f using (source) left join g using (source)"
-)
-def gi2_soft_power(spark, d):
-    s = scored(spark, d)
-    h = I.entropy(s, "source", "steeps").select("source", F.col("bits").alias("h"))
-    b = s.groupBy("source").agg(F.count("*").alias("n"), F.avg("score").alias("tone"), F.count_distinct("topic").alias("deg")).join(h, "source", "left")
-    w = W.partitionBy()
-    p = 0.25 * F.col("n") / F.max("n").over(w) + 0.3 * (F.coalesce("tone", F.lit(0.0)) + 1) / 2 + 0.2 * F.least(F.lit(1.0), F.coalesce("h", F.lit(0.0)) / F.log2(F.lit(6))) + 0.25 * F.col("deg") / F.max("deg").over(w)
-    return b.select("source", r6(p, "power"))
-
-
 @query(
     f"with {ART}, {ENT}, {ANA}, m as (select e.article_id, e.entity, n.score, e.source from ent e join ana n using (article_id)), t as (select entity from m group by entity order by count(*) desc, entity limit 30), k as (select * from m where entity in (select entity from t)) "
     "select a.entity as x, b.entity as y, count(*) as n, round(avg(a.score), 4) as tone, round(avg(cast(coalesce(a.score < 0, false) as int)), 6) as negative from k a join k b on a.article_id = b.article_id and a.source is not distinct from b.source and a.entity < b.entity group by all having count(*) >= 3"
@@ -442,13 +399,6 @@ def fi2_pair_tensions(spark, d):
     return g.where("n >= 3")
 
 
-@query(f"with {SCO}, t as (select topic, round(avg(score), 6) as tone, count(*) as n from sco group by topic), l as (select lang, round(avg(score), 6) as tone, count(*) as n from sco group by lang) select 'topic' as kind, topic as name, tone as magnitude from t where n >= 5 and tone < 0 union all select 'lang', lang, tone from l where n >= 5 and tone < 0")
-def fi4_alerts(spark, d):
-    s = scored(spark, d)
-    part = lambda k: s.groupBy(F.col(k).alias("name")).agg(r6(F.avg("score"), "magnitude"), F.count("*").alias("n")).where("n >= 5 and magnitude < 0").select(F.lit(k).alias("kind"), "name", "magnitude")
-    return part("topic").unionByName(part("lang"))
-
-
 @query(f"with {SCO}, f as (select 'tone' as kind, topic as name, round(avg(score), 6) as magnitude from sco group by topic union all select 'share', lang, round(count(*) / (select count(*) from sco), 6) from sco group by lang union all select 'importance', source, round(avg(importance) / 100, 6) from sco group by source) select kind, name, magnitude from f where magnitude is not null order by abs(magnitude) desc, kind, name limit 15")
 def syn_findings(spark, d):
     s = scored(spark, d)
@@ -499,32 +449,6 @@ def source_topic(spark, d):
     return articles(spark, d).where("source is not null").groupBy("source", "topic").agg(F.count("*").alias("n"), F.min("article_id").alias("first_id"))
 
 
-@query("with x as (select source_id, count(*) as n, count(distinct normalized_url) as u from seen_urls group by source_id) select source_id, round(u / n, 6) as effectiveness, u / n >= 0.95 as met from x")
-def success_metrics(spark, d):
-    x = table(spark, d, "seen_urls").groupBy("source_id").agg((F.count_distinct("normalized_url") / F.count("*")).alias("e"))
-    return x.select("source_id", r6("e", "effectiveness"), (F.col("e") >= 0.95).alias("met"))
-
-
-@query("with t(kind, pattern, rank) as (values ('tracking', 'utm_|gclid|fbclid', 1), ('port', ':(80|443)', 2), ('plain', '^http://', 3)), h as (select s.source_id, t.kind, t.rank, count(*) as n from seen_urls s join t on regexp_matches(s.normalized_url, t.pattern) group by all) select source_id, cast(sum(n) as bigint) as hits, arg_min(kind, (-n, rank)) as main from h group by source_id")
-def failure_diagnosis(spark, d):
-    """Pattern taxonomy by line, counts by source and the main class; the taxonomy is three rows."""
-    t = spark.createDataFrame([("tracking", "utm_|gclid|fbclid", 1), ("port", ":(80|443)", 2), ("plain", "^http://", 3)], "kind string, pattern string, rank int")
-    h = table(spark, d, "seen_urls").join(F.broadcast(t), F.expr("normalized_url rlike pattern")).groupBy("source_id", "kind", "rank").agg(F.count("*").alias("n"))
-    return h.groupBy("source_id").agg(F.sum("n").alias("hits"), F.min_by("kind", F.struct(-F.col("n"), "rank")).alias("main"))
-
-
-@query("select batch_no, count(*) as n from seen_urls group by batch_no")
-def feed_health(spark, d):
-    return table(spark, d, "seen_urls").groupBy("batch_no").agg(F.count("*").alias("n"))
-
-
-@query()
-def file_inventory(spark, d):
-    """Size and name of the table files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(f"{d}/sources.parquet")
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.col("length").alias("size"))
-
-
 # windows
 
 
@@ -736,6 +660,3 @@ def db_series_filter(spark, d):
 _EPU_KEYS = "', '".join(EPU)
 
 
-@query(f"select language, count(*) as n from lang_samples where language in ('{_EPU_KEYS}') group by language")
-def val_metrics(spark, d):
-    return table(spark, d, "lang_samples").where(F.col("language").isin(*EPU)).groupBy("language").agg(F.count("*").alias("n"))

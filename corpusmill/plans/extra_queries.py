@@ -47,11 +47,6 @@ def idx_vec(spark, d):
     return table(spark, d, "embeddings").where("embedding is not null").select("vec_id", F.size("embedding").cast("bigint").alias("dim"))
 
 
-@query(f"with {ART}, {ENT} select entity, coalesce(len(list(article_id)), 0) as article_count, cast(cast(min(day) as varchar) as varchar) as detected from ent group by entity having count(*) >= 3")
-def idx_signals(spark, d):
-    return entities(spark, d).groupBy("entity").agg(F.size(F.collect_list("article_id")).cast("bigint").alias("article_count"), F.min("day").cast("string").alias("detected")).where("article_count >= 3")
-
-
 @query("select source_id, cast(batch_no as varchar) as run, count(*) as urls from seen_urls group by all union all select source_id, 'all', count(*) from seen_urls group by source_id")
 def idx_crawl_status(spark, d):
     u = table(spark, d, "seen_urls")
@@ -59,12 +54,6 @@ def idx_crawl_status(spark, d):
     return a.unionByName(u.groupBy("source_id").agg(F.count("*").alias("urls")).withColumn("run", F.lit("all")))
 
 
-@query("select substr(first_seen, 1, 7) as month, substr(first_seen, 1, 7) < '2024-06' as archived, count(*) as n from seen_urls group by all")
-def retention(spark, d):
-    m = F.substring("first_seen", 1, 7)
-    return table(spark, d, "seen_urls").groupBy(m.alias("month"), (m < "2024-06").alias("archived")).agg(F.count("*").alias("n"))
-
-
 @query("with u as (select lower(url_hash) as h, count(distinct article_id) as n from seen_urls where url_hash is not null group by 1) select h, n from u where n > 1")
 def url_equiv(spark, d):
     """Address hashes, whatever their letter case, that stand for several articles."""

@@ -223,10 +223,10 @@ def iso_week(spark, d):
     return articles(spark, d).where("day is not null").select("article_id", X.iso_week(F.col("day")).alias("week"), (F.trunc("day", "month") == F.lit("2024-08-01").cast("date")).alias("august"), (F.weekday("day") + 1).alias("dow"))
 
 
-@query(f"with {ART} select topic, cast(datediff('day', cast(min(ts) as date), cast(max(ts) as date)) as integer) as days, cast(floor((epoch(max(ts)) - epoch(min(ts))) / 86400) as bigint) as whole, round((epoch(max(ts)) - epoch(min(ts))) / 3600, 2) as hours from art where ts is not null group by topic")
+@query(f"with {ART} select topic, cast(datediff('day', cast(min(ts) as date), cast(max(ts) as date)) as integer) as days, cast(floor((epoch(max(ts)) - epoch(min(ts))) / 86400) as bigint) as whole, round((epoch(max(ts)) - epoch(min(ts))) / 3600, 6) as hours from art where ts is not null group by topic")
 def days_span(spark, d):
     sec = F.unix_timestamp(F.max("ts")) - F.unix_timestamp(F.min("ts"))
-    return articles(spark, d).where("ts is not null").groupBy("topic").agg(F.datediff(F.max("ts"), F.min("ts")).alias("days"), F.floor(sec / 86400).alias("whole"), F.round(sec / 3600, 2).alias("hours"))
+    return articles(spark, d).where("ts is not null").groupBy("topic").agg(F.datediff(F.max("ts"), F.min("ts")).alias("days"), F.floor(sec / 86400).alias("whole"), F.round(sec / 3600, 6).alias("hours"))
 
 
 @query(f"with {ART} select article_id from art where ts is null or ts >= timestamp '2024-09-01 00:00:00' - interval 24 hours")

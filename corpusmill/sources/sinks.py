@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,3 +45,23 @@ def ttl_purge(df: DataFrame, at: str, now: str, days: int) -> DataFrame:
 
 def recompress(spark: SparkSession, source: str, target: str, schema: T.StructType) -> None:
     sink_parquet(with_columns_present(spark.read.parquet(source), schema), target, schema)
+
+
+def archive_partitions(spark: SparkSession, live: str, archive: str, before: Column) -> int:
+    """Move the crawl_date partitions older than a date to an archive; the number of partitions moved.
+
+    The rows are copied, the copy is compared with the original by number and digest of its rows, and
+    only then are the partition folders deleted. A difference leaves the dataset untouched and raises.
+    """
+    rows = spark.read.parquet(live)
+    old = rows.where(F.col("crawl_date") < before)
+    sink_parquet(old, archive, partition="crawl_date", mode="append")
+    digest = (F.count("*").alias("n"), F.bit_xor(F.xxhash64(*rows.columns)).alias("x"))
+    copied = spark.read.schema(rows.schema).parquet(archive).where(F.col("crawl_date") < before)
+    if old.agg(*digest).first() != copied.select(*rows.columns).agg(*digest).first():
+        raise OSError("the archive differs from the partitions it was made of")
+    days = [r[0] for r in old.select("crawl_date").distinct().collect()]
+    for day in days:  # one folder for each day of the calendar
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{live.rstrip('/')}/crawl_date={day}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(days)
