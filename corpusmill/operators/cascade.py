@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
@@ -45,13 +45,14 @@ def dedup_cascade(rows: DataFrame) -> DataFrame:
 
     seq orders the arrival and is unique. Rows with simhash 0 aren't kept for matching titles.
     """
-    first_url = F.first("id").over(Window.partitionBy("url_key").orderBy("seq"))
-    base = settle(rows.withColumn("url_match", F.when((F.col("url_key") != "") & (first_url != F.col("id")), first_url)))
+    # aggregates combine on the map side, so that a key of a third of the rows, or the empty one, is gathered nowhere
+    first = rows.where("url_key <> ''").groupBy("url_key").agg(F.min_by("id", "seq").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    base = settle(rows.join(first, "url_key", "left").withColumn("url_match", F.when(F.col("_first") != F.col("id"), F.col("_first"))).drop("_first"))
     rest = base.where("url_match is null")
     t = rest.where("title_key <> ''").select("id", "seq", "title_key", "simhash")
     # a title's candidates are the articles kept under it; the first with a fingerprint is the earliest that can be kept
-    holder = F.min(F.when(F.col("simhash") != 0, F.struct("seq", "id"))).over(Window.partitionBy("title_key"))
-    titles = t.withColumn("_h", holder).where("_h is not null and _h.seq < seq").select(F.col("_h.id").alias("a"), F.col("id").alias("b"), F.lit(2).alias("level"), F.lit(1.0).alias("confidence"))
+    holder = t.groupBy("title_key").agg(F.min(F.when(F.col("simhash") != 0, F.struct("seq", "id"))).alias("_h"), F.count("*").alias("_n")).where("_n > 1 and _h is not null").drop("_n")
+    titles = t.join(holder, "title_key").where("_h.seq < seq").select(F.col("_h.id").alias("a"), F.col("id").alias("b"), F.lit(2).alias("level"), F.lit(1.0).alias("confidence"))
     prints = fingerprint_pairs(rest).select("a", "b", F.lit(3).alias("level"), (1 - F.col("bits") / 64).alias("confidence"))
     seqs = rest.select(F.col("id").alias("a"), F.col("seq").alias("a_seq"))
     pairs = settle(titles.union(prints).join(seqs, "a"))

@@ -40,11 +40,11 @@ def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, cut: int
     return rank
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node of each connected component, by label propagation with pointer jumping until nothing changes."""
     e = settle(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
     label = settle(e.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("component")))
-    for _ in range(max_rounds):
+    while True:  # each round lowers a label at least, and pointer jumping makes their number logarithmic in long chains
         near = e.join(label, e.dst == label.node).groupBy("src").agg(F.min("component").alias("m"))
         new = label.join(near, label.node == near.src, "left").select("node", F.least("component", F.coalesce("m", "component")).alias("component"))
         jump = new.toDF("j_node", "j_component")
@@ -75,16 +75,49 @@ def bfs_depth(edges: DataFrame, roots: DataFrame, max_depth: int | None = None)
     return seen
 
 
-def communities(edges: DataFrame, rounds: int = 12) -> DataFrame:
-    """(node, community) by weighted label propagation; ties go to the least label, so runs repeat."""
-    e = settle(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
-    label = settle(e.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("community")))
-    for i in range(rounds):
-        votes = e.join(label, e.dst == label.node).groupBy("src", "community").agg(F.sum("weight").alias("w"))
-        best = votes.groupBy("src").agg(F.min_by("community", F.struct(-F.col("w"), "community")).alias("best"))
-        odd = F.xxhash64("node", F.lit(i)).bitwiseAND(F.lit(1)) == 1  # half of the nodes move at a time, else pairs swap for ever
-        label = settle(label.join(best, label.node == best.src, "left").select("node", F.when(odd, F.coalesce("best", "community")).otherwise(F.col("community")).alias("community")))
-    return label
+def louvain(edges: DataFrame, max_levels: int = 10, least_gain: float = 1e-6) -> DataFrame:
+    """(node, community) of an undirected graph given in both directions, by moves that raise the modularity.
+
+    A level moves nodes between communities until the modularity stops rising, then the communities
+    become the nodes of the next level. In a pass each node sees its links to the communities around
+    it and their totals, takes the one of the greatest gain (ties: the least name), and half of the
+    nodes, drawn by hash, move at a time; a pass that doesn't raise the modularity is taken back.
+    The edges of a level are partial sums by pairs of communities, so hubs are never gathered.
+    """
+    e = settle(edges.where("weight > 0").groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    whole = settle(e.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
+    m2 = e.agg(F.sum("weight")).first()[0]
+    if not m2:
+        return whole
+    for _ in range(max_levels):
+        degree = settle(e.groupBy("src").agg(F.sum("weight").alias("k")).withColumnRenamed("src", "node"))
+        label = degree.select("node", F.col("node").alias("community"))
+        best = start = modularity(e, label).first()[0]
+        idle, i = 0, 0
+        while idle < 3:
+            at = label.join(degree, "node")
+            total = at.groupBy("community").agg(F.sum("k").alias("tot"))
+            links = e.where("src <> dst").join(label.toDF("dst", "near"), "dst").groupBy("src", "near").agg(F.sum("weight").alias("w"))
+            seen = links.join(at.toDF("src", "community", "k"), "src").join(total.toDF("near", "tot"), "near")
+            gain = F.col("w") - F.col("k") * (F.col("tot") - F.when(F.col("near") == F.col("community"), F.col("k")).otherwise(0.0)) / m2
+            choice = seen.withColumn("gain", F.round(gain, 9)).groupBy("src").agg(F.min_by("near", F.struct(-F.col("gain"), "near")).alias("to"), F.max("gain").alias("gain"), F.max(F.when(F.col("near") == F.col("community"), F.col("gain"))).alias("stay"))
+            own = at.join(total, "community").select("node", "community", F.round(-F.col("k") * (F.col("tot") - F.col("k")) / m2, 9).alias("alone"))
+            odd = F.xxhash64("node", F.lit(i)).bitwiseAND(F.lit(1)) == 1
+            moved = own.join(choice, own.node == choice.src, "left")
+            better = odd & F.col("to").isNotNull() & (F.col("gain") > F.coalesce("stay", "alone") + 1e-9)
+            new = settle(moved.select("node", F.when(better, F.col("to")).otherwise(F.col("community")).alias("community")))
+            now = modularity(e, new).first()[0]
+            i += 1
+            if now > best + least_gain:
+                label, best, idle = new, now, 0
+            else:
+                idle += 1
+        if best <= start + least_gain:
+            break
+        whole = settle(whole.join(label.toDF("community", "up"), "community").select("node", F.col("up").alias("community")))
+        names = label.toDF("node", "c")
+        e = settle(e.join(names.toDF("src", "a"), "src").join(names.toDF("dst", "b"), "dst").groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("weight").alias("weight")))
+    return whole
 
 
 def modularity(edges: DataFrame, community: DataFrame) -> DataFrame:

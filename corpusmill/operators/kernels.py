@@ -288,32 +288,57 @@ def wavelet_energy(x: np.ndarray, levels: int = 4) -> list[float]:
     return out
 
 
-def isolation_scores(x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 42) -> np.ndarray:
-    """Isolation forest anomaly scores in 0..1 of the rows of x."""
+def isolation_forest(x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 42) -> tuple[list[tuple[np.ndarray, ...]], float]:
+    """Trees (feature, cut, left child, path length) over samples of the rows of x, and the usual path length."""
     rng = np.random.default_rng(seed)
-    n, m = x.shape
-    size = min(sample, n)
-    if size < 2:
-        return np.zeros(n)
-    limit = math.ceil(math.log2(size))
-    mean_path = lambda k: np.where(k > 2, 2 * (np.log(np.maximum(k - 1, 1)) + 0.5772156649) - 2 * (k - 1) / np.maximum(k, 1), np.where(k == 2, 1.0, 0.0))
-    depth = np.zeros(n)
-    for _ in range(trees):
-        stack = [(rng.choice(n, size, replace=False), np.arange(n), 0)]
-        while stack:
-            fit, score, level = stack.pop()
-            low, high = x[fit].min(0), x[fit].max(0)
+    size = min(sample, len(x))
+    limit = math.ceil(math.log2(max(size, 2)))
+    mean_path = lambda k: 2 * (math.log(k - 1) + 0.5772156649) - 2 * (k - 1) / k if k > 2 else float(k == 2)
+    forest = []
+    for _ in range(trees if size >= 2 else 0):
+        feature, cut, left, path = [], [], [], []
+        stack = [(rng.choice(len(x), size, replace=False), 0, -1)]
+        while stack:  # children are numbered when their parent is opened, side by side
+            rows, level, at = stack.pop()
+            if at < 0:
+                at = 0
+                for a in (feature, cut, left, path):
+                    a.append(0)
+            low, high = x[rows].min(0), x[rows].max(0)
             wide = np.flatnonzero(high > low)
-            if level >= limit or len(fit) <= 1 or not len(wide):
-                depth[score] += level + float(mean_path(np.array(len(fit))))
+            if level >= limit or len(rows) <= 1 or not len(wide):
+                feature[at], path[at] = -1, level + mean_path(len(rows))
                 continue
-            f = rng.choice(wide)
-            cut = rng.uniform(low[f], high[f])
-            for side in (True, False):
-                sub = score[(x[score, f] < cut) == side]
-                if len(sub):
-                    stack.append((fit[(x[fit, f] < cut) == side], sub, level + 1))
-    return 2 ** (-depth / trees / max(float(mean_path(np.array(size))), 1e-9))
+            f = int(rng.choice(wide))
+            c = float(rng.uniform(low[f], high[f]))
+            feature[at], cut[at], left[at] = f, c, len(feature)
+            inside = x[rows, f] < c
+            for side in (inside, ~inside):
+                child = len(feature)
+                for a in (feature, cut, left, path):
+                    a.append(0)
+                if side.any():
+                    stack.append((rows[side], level + 1, child))
+                else:
+                    feature[child], path[child] = -1, level + 1
+        forest.append((np.array(feature), np.array(cut), np.array(left), np.array(path, float)))
+    return forest, max(mean_path(size), 1e-9)
+
+
+def isolation_scores(x: np.ndarray, fit: np.ndarray | None = None, trees: int = 100, sample: int = 256, seed: int = 42) -> np.ndarray:
+    """Anomaly scores in 0..1 of the rows of x by trees over fit (x itself if None); the same rows get the same scores in any part."""
+    forest, usual = isolation_forest(x if fit is None else fit, trees, sample, seed)
+    if not forest:
+        return np.zeros(len(x))
+    depth = np.zeros(len(x))
+    for feature, cut, left, path in forest:
+        at = np.zeros(len(x), int)
+        while (open_ := feature[at] >= 0).any():
+            rows = np.nonzero(open_)[0]
+            n = at[rows]
+            at[rows] = left[n] + (x[rows, feature[n]] >= cut[n])
+        depth += path[at]
+    return 2 ** (-depth / len(forest) / usual)
 
 
 def nmf(v: np.ndarray, k: int, rounds: int = 200, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ batches and load what they need once for each worker.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -32,11 +32,15 @@ def register(name: str, scorer: Scorer) -> None:
 
 
 def register_python(name: str, returns: str, load: Callable[[], Callable[[pd.Series], pd.Series]]) -> None:
-    """A Python scorer: load() runs once for each batch iterator and gives a function on a Series."""
+    """A Python scorer: load() runs once for each partition and gives a function on a Series."""
 
-    @F.pandas_udf(returns)
-    def run(batches: "pd.Series") -> "pd.Series":
-        return load()(batches)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = load()
+        for b in batches:
+            yield scorer(b)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}  # as objects: the names are strings here
+    run = F.pandas_udf(run, returns)
 
     register(name, lambda c: run(c))
 

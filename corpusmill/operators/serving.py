@@ -103,7 +103,7 @@ def tfidf_top(docs: DataFrame, id_col: str, text_col: str, group_col: str, top:
     pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
     tf = base.select("id", "g", F.explode(F.concat("w", pairs)).alias("term")).groupBy("g", "id", "term").agg(F.count("*").alias("tf"))
     n = base.groupBy("g").agg(F.count("*").alias("n"))
-    df = tf.groupBy("g", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).join(F.broadcast(n), "g")
+    df = tf.groupBy("g", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).join(n, "g")
     df = df.where((F.col("df") >= F.when(most_share * F.col("n") < 2, 1).otherwise(least_df)) & (F.col("df") <= most_share * F.col("n")))
     df = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("total"), "term"))).where(F.col("r") <= vocabulary)
     x = tf.join(df.select("g", "term", "df", "n"), ["g", "term"]).withColumn("s", (1 + F.ln("tf")) * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1))

@@ -499,9 +499,9 @@ def upsert_replace(spark, d):
     return R.keep_last(table(spark, d, "content_hashes"), ["article_id"], [F.col(c) for c in ("batch_no", "seen_at", "title", "simhash")]).select("article_id", "title")
 
 
-@query("select s.language, count(*) as n, round(avg(a.word_count), 6) as words from articles a join sources s on s.source_id = a.source where a.word_count > 10 group by s.language order by n desc limit 5")
+@query("select s.language, count(*) as n, round(avg(a.word_count), 6) as words from articles a join sources s on s.source_id = a.source where a.word_count > 10 group by s.language order by n desc, s.language limit 5")
 def sql_adhoc(spark, d):
-    return spark.sql("select s.language, count(*) as n, round(avg(a.word_count), 6) as words from {a} a join {s} s on s.source_id = a.source where a.word_count > 10 group by s.language order by n desc limit 5", a=table(spark, d, "articles"), s=table(spark, d, "sources"))
+    return spark.sql("select s.language, count(*) as n, round(avg(a.word_count), 6) as words from {a} a join {s} s on s.source_id = a.source where a.word_count > 10 group by s.language order by n desc, s.language limit 5", a=table(spark, d, "articles"), s=table(spark, d, "sources"))
 
 
 # series and graphs
@@ -594,8 +594,8 @@ def net_evolution(spark, d):
 
 @query()
 def ea1_trajectory(spark, d):
-    """Slope and spread of the weekly co-occurrence rank of frequent entities, weeks without mention 0."""
-    m = I.having(entities(spark, d).where("day is not null"), "entity", 5).withColumn("week", X.iso_week(F.col("day")))
+    """Slope, spread and class of the weekly co-occurrence rank of entities with ten mentions or more, weeks without mention 0."""
+    m = I.having(entities(spark, d).where("day is not null"), "entity", 10).withColumn("week", X.iso_week(F.col("day")))
     m = settle(m.select("article_id", "entity", "week").distinct())
     a, b = m.toDF("article_id", "src", "week"), m.toDF("article_id", "dst", "week")
     e = a.join(b, ["article_id", "week"]).where("src <> dst").groupBy("week", "src", "dst").agg(F.count("*").cast("double").alias("weight"))
@@ -605,7 +605,9 @@ def ea1_trajectory(spark, d):
     weeks = m.select("week").distinct()
     grid = rank.select("entity").distinct().crossJoin(F.broadcast(weeks)).join(rank, ["entity", "week"], "left").withColumn("rank", F.coalesce("rank", F.lit(0.0)))
     x = grid.withColumn("i", F.row_number().over(W.partitionBy("entity").orderBy("week")) - 1)
-    return x.groupBy("entity").agg(F.round(F.coalesce(F.regr_slope("rank", "i"), F.lit(0.0)), 8).alias("slope"), r6(F.stddev_pop("rank") / (F.avg("rank") + 1e-10), "cv"))
+    g = x.groupBy("entity").agg(F.round(F.coalesce(F.regr_slope("rank", "i"), F.lit(0.0)), 8).alias("slope"), r6(F.stddev_pop("rank") / (F.avg("rank") + 1e-10), "cv"), F.count_if(F.col("rank") > 0).alias("active"))
+    kind = F.when(F.col("active") < 2, "plateau").when(F.col("cv") > 1, "burst").when((F.col("slope") > 0.01) & (F.col("cv") < 0.5), "rising").when(F.col("slope") < -0.01, "fading").otherwise("plateau")
+    return g.select("entity", "slope", "cv", kind.alias("class"))
 
 
 @query(f"with {ART}, x as (select article_id, topic, source, ts from art where ts is not null and topic <> '-1' and source is not null), ed as (select a.source as src, b.source as dst, cast(count(*) as double) as weight from x a join x b on a.topic = b.topic and a.source <> b.source and a.ts < b.ts and epoch(b.ts) - epoch(a.ts) <= 86400 group by all), {_PR} select node as source, round(rank, 6) as rank from r10")
@@ -635,7 +637,7 @@ def hdbscan(spark, d):
     near = F.sum(F.when(F.col("a") == F.col("b"), F.col("nb") - 1).otherwise(F.col("nb"))).over(W.partitionBy("label", "a").orderBy("dist", "b"))
     core = settle(pairs.withColumn("near", near).where("near >= 5").groupBy("label", "a", "na").agg(F.min("dist").alias("core")))
     cut = core.groupBy("label").agg(F.percentile("core", F.lit(0.5), F.col("na")).alias("cut"))
-    dense = core.join(F.broadcast(cut), "label").where("core <= cut")
+    dense = core.join(cut, "label").where("core <= cut")
     links = pairs.where("a < b or a = b and na > 1").join(dense.select("label", "a", "cut"), ["label", "a"]).join(dense.select("label", F.col("a").alias("b")), ["label", "b"]).where("dist <= cut")
     c = graph.components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     found = one.join(c, "node").select("label", "embedding", "component")

@@ -13,7 +13,7 @@ from corpusmill.operators.serving import cosine
 from corpusmill.plans.bindings import ANA, ART, ENT, analysis, articles, entities, r6, registry
 from corpusmill.plans.series_queries import _pairs, _series, granger_bonf
 from corpusmill.plans.serving_queries import _EDGES, _PR, IDX, _index
-from corpusmill.runtime import settle
+from corpusmill.runtime import checked_broadcast, settle
 from corpusmill.sources.tables import table
 
 QUERIES, SQL, query = registry()
@@ -110,7 +110,7 @@ def contradiction(spark, d):
     """Potential contradictions by similarity alone (no inference model): the query set of ids divisible by 50 against its label's rows."""
     v = table(spark, d, "embeddings").select("vec_id", "label", "embedding")
     a, b = v.where("vec_id % 50 = 0").toDF("a", "label", "ea"), v.toDF("b", "label", "eb")
-    s = b.join(F.broadcast(a), "label").where("a <> b").select("a", "b", cosine(F.col("ea"), F.col("eb")).alias("s"))
+    s = b.join(checked_broadcast(a), "label").where("a <> b").select("a", "b", cosine(F.col("ea"), F.col("eb")).alias("s"))
     return s.where(F.round("s", 6) >= 0.3).select("a", "b", r6(0.5 * F.col("s"), "strength"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.plans.bindings import ANA, ART, EMOTIONS, analysis, articles, r6, registry
-from corpusmill.runtime import ship
+from corpusmill.runtime import checked_broadcast, ship
 from corpusmill.sources.tables import table
 
 QUERIES, SQL, query = registry()
@@ -311,4 +311,4 @@ def clamp(spark, d):
 @query("select s.source_id, coalesce(n.group_name, '?') as grp, coalesce(n.source_name, 'Unknown') as name from (select distinct source as source_id from articles) s left join sources n using (source_id)")
 def source_group_map(spark, d):
     s = table(spark, d, "articles").select(F.col("source").alias("source_id")).distinct()
-    return s.join(F.broadcast(table(spark, d, "sources").limit(100_000)), "source_id", "left").select("source_id", F.coalesce("group_name", F.lit("?")).alias("grp"), F.coalesce("source_name", F.lit("Unknown")).alias("name"))
+    return s.join(checked_broadcast(table(spark, d, "sources").select("source_id", "group_name", "source_name")), "source_id", "left").select("source_id", F.coalesce("group_name", F.lit("?")).alias("grp"), F.coalesce("source_name", F.lit("Unknown")).alias("name"))

@@ -20,6 +20,8 @@ from corpusmill.runtime import settle, ship
 from corpusmill.sources.tables import table
 
 QUERIES, SQL, query = registry()
+#: Rows of a label that isolation trees are fitted on.
+FOREST_ROWS = 10_000
 
 
 def _series(spark, d):
@@ -171,17 +173,26 @@ SQL["ood_lof"] = """
 
 @query()
 def ood_iforest(spark, d):
-    """Isolation forest scores by group; groups above 50,000 rows are split by the hash of the id, as trees see samples anyway."""
-    ship(spark)
-    v = table(spark, d, "embeddings").select("vec_id", "label", "embedding")
-    size = F.count("*").over(Window.partitionBy("label"))
-    v = v.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.ceil(size / 50_000)))
+    """Isolation forest scores by label. A label's trees are fitted on at most FOREST_ROWS of its rows, those with the least hashes; every row is scored.
 
-    def run(p):
-        p = p.sort_values("vec_id")
-        return pd.DataFrame({"vec_id": p.vec_id, "score": K.isolation_scores(np.stack(p.embedding.to_numpy()).astype(float)).round(6)})
-
-    return v.groupBy("label", "part").applyInPandas(run, "vec_id long, score double")
+    Rows are scored in parts of a label, each with the label's sample beside it, so that no label is
+    gathered in one task and the parts change no score.
+    """
+    ship(spark)
+    v = table(spark, d, "embeddings").where("embedding is not null").select("vec_id", "label", "embedding", F.xxhash64("vec_id").alias("h"))
+    parts = v.groupBy("label").agg(F.ceil(F.count("*") / 50_000).cast("int").alias("parts"))
+    least = F.row_number().over(Window.partitionBy("label").orderBy("h", "vec_id"))  # limited before the shuffle as well
+    sample = v.withColumn("rn", least).where(F.col("rn") <= FOREST_ROWS).join(parts, "label")
+    sample = sample.select("label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "h", "vec_id", "embedding")
+    rows = v.join(parts, "label").select("label", F.pmod("h", "parts").cast("int").alias("part"), "vec_id", "embedding")
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            return pd.DataFrame({"vec_id": [], "score": []})
+        fit = np.stack(right.sort_values(["h", "vec_id"]).embedding.to_numpy()).astype(float)
+        return pd.DataFrame({"vec_id": left.vec_id, "score": K.isolation_scores(np.stack(left.embedding.to_numpy()).astype(float), fit).round(6)})
+
+    return rows.groupBy("label", "part").cogroup(sample.groupBy("label", "part")).applyInPandas(run, "vec_id long, score double")
 
 
 def _features(spark, d):

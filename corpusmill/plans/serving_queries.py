@@ -194,9 +194,9 @@ def causal_depth(spark, d):
 
 @query()
 def louvain(spark, d):
-    """Communities of the entity graph by label propagation, with the modularity reached."""
+    """Communities of the entity graph by moves that raise the modularity, with the modularity reached."""
     e = _edges(spark, d)
-    c = graph.communities(e)
+    c = graph.louvain(e)
     return c.groupBy("community").agg(F.count("*").alias("nodes")).crossJoin(graph.modularity(e, c).select(r6("modularity", "modularity")))
 
 

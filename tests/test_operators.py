@@ -13,6 +13,7 @@ from corpusmill.functions import markup as M
 from corpusmill.functions import text as X
 from corpusmill.functions.url import canonical_url
 from corpusmill.operators import cascade, graph, insights, kernels, quality, relational, serving, signals
+from corpusmill.runtime import settle
 from corpusmill.sources import files, sinks
 from corpusmill.streaming import flows
 
@@ -179,6 +180,8 @@ def test_isolation_forest_and_nmf():
     s = kernels.isolation_scores(x)
     assert s.argmax() == 200 and s[200] > 0.6
     v = np.abs(rng.normal(size=(12, 3))) @ np.abs(rng.normal(size=(3, 20)))
+    again = np.concatenate([kernels.isolation_scores(part, x) for part in np.array_split(x, 4)])
+    assert np.allclose(s, again)
     w, h = kernels.nmf(v, 3)
     assert (w >= 0).all() and np.abs(v - w @ h).mean() < 0.1 * v.mean()
 
@@ -255,10 +258,50 @@ def test_graph_algorithms(spark):
     assert rank == pytest.approx(p) and sum(rank.values()) == pytest.approx(1)
     assert {r.node: r.depth for r in graph.bfs_depth(e, spark.createDataFrame([("d",)], "node string")).collect()} == {"d": 0, "c": 1, "b": 2, "a": 3}
     assert graph.pagerank(e.limit(0)).count() == 0 and graph.components(e.limit(0)).count() == 0
-    com = {r.node: r.community for r in graph.communities(e.where("src <> 'd'")).collect()}
+    com = {r.node: r.community for r in graph.louvain(e.where("src <> 'd'")).collect()}
     assert com["x"] == com["y"] != com["a"]
 
 
+def test_louvain_finds_planted_groups(spark):
+    rng = random.Random(3)
+    group = {f"n{i:02d}": i // 8 for i in range(32)}
+    names = sorted(group)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[:i] if (group[a] == group[b] and rng.random() < 0.8) or rng.random() < 0.03]
+    e = settle(spark.createDataFrame([(a, b, 1.0) for x, y in pairs for a, b in ((x, y), (y, x))], "src string, dst string, weight double"))
+    found = graph.louvain(e)
+    planted = spark.createDataFrame([(n, str(g)) for n, g in group.items()], "node string, community string")
+    reached, wanted = (graph.modularity(e, c).first()[0] for c in (found, planted))
+    m2, degree = 2 * len(pairs), {n: sum(n in p for p in pairs) for n in names}
+    brute = sum((((a, b) in pairs or (b, a) in pairs) - degree[a] * degree[b] / m2) for a in names for b in names if group[a] == group[b]) / m2
+    assert wanted == pytest.approx(brute) and reached >= wanted - 1e-9
+    assert graph.louvain(e.limit(0)).count() == 0
+
+
+def test_archived_partitions_are_verified_and_gone(spark, tmp_path):
+    live, archive = f"file://{tmp_path}/live", f"file://{tmp_path}/archive"
+    rows = spark.createDataFrame([(f"a{i}", f"2025-01-{1 + i % 9:02d}") for i in range(90)] + [(None, "2025-01-02")], "article_id string, d string").select("article_id", F.col("d").cast("date").alias("crawl_date"))
+    sinks.sink_parquet(rows, live, partition="crawl_date")
+    assert sinks.archive_partitions(spark, live, archive, F.lit("2025-01-05").cast("date")) == 4
+    assert spark.read.parquet(live).agg(F.min("crawl_date").cast("string")).first()[0] == "2025-01-05" and spark.read.parquet(archive).count() == 41
+
+
+def test_python_scorer_loads_once_a_partition(spark):
+    from corpusmill.operators import scorers
+
+    def load():
+        state = {"batches": 0}
+
+        def run(texts):
+            state["batches"] += 1
+            return texts.str.len().fillna(0).astype("int64") * 0 + state["batches"]
+
+        return run
+
+    scorers.register_python("counted", "long", load)
+    got = spark.range(0, 1200, 1, 1).select(scorers.score("counted", F.lit("x")).alias("n")).agg(F.max("n")).first()[0]
+    assert got == 3  # 500 rows a batch
+
+
 def test_depth_has_no_limit(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(13)] + [(5, 2)], "src long, dst long")
     root = spark.createDataFrame([(0,)], "node long")
