@@ -183,16 +183,16 @@ def ood_iforest(spark, d):
     parts = v.groupBy("label").agg(F.ceil(F.count("*") / 50_000).cast("int").alias("parts"))
     least = F.row_number().over(Window.partitionBy("label").orderBy("h", "vec_id"))  # limited before the shuffle as well
     sample = v.withColumn("rn", least).where(F.col("rn") <= FOREST_ROWS).join(parts, "label")
-    sample = sample.select("label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "h", "vec_id", "embedding")
+    sample = sample.select("label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "h", "vec_id", "embedding").toDF("s_label", "s_part", "s_h", "s_id", "s_embedding")
     rows = v.join(parts, "label").select("label", F.pmod("h", "parts").cast("int").alias("part"), "vec_id", "embedding")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return pd.DataFrame({"vec_id": [], "score": []})
-        fit = np.stack(right.sort_values(["h", "vec_id"]).embedding.to_numpy()).astype(float)
+        fit = np.stack(right.sort_values(["s_h", "s_id"]).s_embedding.to_numpy()).astype(float)
         return pd.DataFrame({"vec_id": left.vec_id, "score": K.isolation_scores(np.stack(left.embedding.to_numpy()).astype(float), fit).round(6)})
 
-    return rows.groupBy("label", "part").cogroup(sample.groupBy("label", "part")).applyInPandas(run, "vec_id long, score double")
+    return rows.groupBy("label", "part").cogroup(sample.groupBy("s_label", "s_part")).applyInPandas(run, "vec_id long, score double")
 
 
 def _features(spark, d):
