@@ -32,7 +32,7 @@ from typing import NamedTuple
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -234,43 +234,47 @@ def _facts(docs: DataFrame, samples: DataFrame, body_col: str, source_col: str |
         d = shared.value
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in slices(batches):
-            slots, context, open_keys, numbers, facts, text = [], [], [], [], [], []
-            size, open_size = [0], [0]
+            slots, context, numbers, facts, text = [], [], [], [], []
+            size = [0]
             for title, body in zip(b.column(n + 1).to_pylist(), b.column(n + 2).to_pylist(), strict=True):
                 slots.append(title_col is not None and (has_slot(title) or has_slot(body)))
                 lines = [" ".join(x.split()) for x in repair(body, d)[0].split("\n")] if body else []
                 at = [i for i, x in enumerate(lines) if x]
                 found = read_lines(lines, at)
                 context.append(max(found, key=_chars).key if found else 0)
-                open_keys += {f.key for f in found if not f.kinds & (ANCHOR | ITEM | FIXED)}
                 numbers += at
                 facts += found
                 if with_text:
                     text.append(pack("\n".join(lines[i] for i in at).encode()) if at else b"")
                 size.append(len(facts))
-                open_size.append(len(open_keys))
             ends = pa.array(size, pa.int32())
             cols = list(zip(*facts, strict=True)) or [[]] * 6
             lists = [pa.ListArray.from_arrays(ends, pa.array(c, k)) for c, k in zip((numbers, *cols), (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)]
             lists.append(pa.array(text, pa.binary()) if with_text else pa.nulls(len(slots), pa.binary()))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n + 1)), b.column(n + 3), pa.array(slots, pa.bool_()), pa.array(context, pa.int64()), pa.ListArray.from_arrays(pa.array(open_size, pa.int32()), pa.array(open_keys, pa.int64())), *lists], names=names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n + 1)), b.column(n + 3), pa.array(slots, pa.bool_()), pa.array(context, pa.int64()), *lists], names=names)
 
     fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
-    rest = T._parse_datatype_string("src string, rid bigint, slot boolean, context bigint, open array<bigint>, at array<int>, key array<bigint>, chars array<int>, tags array<int>, kinds array<int>, packed array<bigint>, only array<int>, text binary")
+    rest = T._parse_datatype_string("src string, rid bigint, slot boolean, context bigint, at array<int>, key array<bigint>, chars array<int>, tags array<int>, kinds array<int>, packed array<bigint>, only array<int>, text binary")
     schema = T.StructType([*fields, *rest.fields])
     names = schema.names
     return settle(rows.mapInArrow(run, schema))
 
 
+def _open_keys() -> Column:
+    """The keys of a page that count as patterns, each once."""
+    lines = F.filter(F.arrays_zip("key", "kinds"), lambda x: x["kinds"].bitwiseAND(F.lit(ANCHOR | ITEM | FIXED)) == 0)
+    return F.array_distinct(F.transform(lines, lambda x: x["key"]))
+
+
 def patterns_that_come_back(pages: DataFrame) -> DataFrame:
     """(src, key) of the patterns on at least MIN_PAGES different pages and MIN_SHARE of the different pages of the source."""
     total = pages.where("size(at) > 0").select("src", "context").distinct().groupBy("src").agg(F.count("*").alias("total"))
-    found = pages.select("src", "context", F.explode("open").alias("key")).distinct().groupBy("src", "key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
+    found = pages.select("src", "context", F.explode(_open_keys()).alias("key")).distinct().groupBy("src", "key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
     return settle(found.join(checked_broadcast(total), "src").where(F.col("n") >= MIN_SHARE * F.col("total")).select("src", "key"))
 
 
-def _keys_among(pages: DataFrame, keys: DataFrame, column: str, exploded: str) -> DataFrame:
-    """(rid, src, column): of each page the keys (of the array column exploded) that are in keys; pages without any are left out."""
+def _keys_among(pages: DataFrame, keys: DataFrame, column: str, exploded: Column) -> DataFrame:
+    """(rid, src, column): of each page the keys (of the array exploded) that are in keys; pages without any are left out."""
     return pages.select("rid", "src", F.explode(exploded).alias("key")).join(checked_broadcast(keys), ["src", "key"]).groupBy("rid", "src").agg(F.collect_list("key").alias(column))
 
 
@@ -326,9 +330,9 @@ def read_pages(docs: DataFrame, samples: DataFrame, body_col: str = "body", sour
     scripts or slots stand in place of a text. slot: title or body have an open slot (with title_col).
     """
     facts = _facts(docs, samples, body_col, source_col, carry, title_col, with_text, dictionaries)
-    back = settle(_keys_among(facts, patterns_that_come_back(facts), "back", "open"))
+    back = settle(_keys_among(facts, patterns_that_come_back(facts), "back", _open_keys()))
     named = settle(named_patterns(facts.select("rid", "src", "key", "chars", "tags", "kinds").join(back.select("rid", "back"), "rid")))
-    names = _keys_among(back, named, "named", "back").select("rid", "named")
+    names = _keys_among(back, named, "named", F.col("back")).select("rid", "named")
     pages = facts.join(back.select("rid", "back").join(names, "rid", "left"), "rid", "left").join(checked_broadcast(foreign_sources(facts)), "src", "left")
     cols = [c for c in facts.columns if c.startswith("c") and c[1:].isdigit()]
     given = [*cols, "slot", "at", *(["text"] if with_text else [])]
