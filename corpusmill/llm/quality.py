@@ -214,7 +214,7 @@ def signals(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     prose = (
         several & (common >= 0.12),
         several & (sentences >= 0.6),
-        some & (letters >= 0.8) & (f["separator_ratio"] == 0) & (f["longest_word"] <= 24) & (f["digit_ratio"] < 0.1),
+        some & (letters >= 0.75) & (f["separator_ratio"] == 0) & (f["longest_word"] <= 24) & (f["digit_ratio"] < 0.2),
         some & (words <= 6) & (f["n_lines"] == 1) & (f["longest_word"] <= 20) & (letters >= 0.6) & (f["digit_ratio"] < 0.25) & (f["comma_rate"] < 0.5),
     )
     junk = (

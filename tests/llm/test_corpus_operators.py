@@ -258,6 +258,21 @@ def test_quality_model_on_other_texts(spark):
     assert right > 0.85 and squared < 0.12 and gap < 0.2
 
 
+def test_calibration_settles_in_spite_of_outliers():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    raw, k = np.concatenate([rng.normal(-6, 1, 27), rng.normal(6, 1, 25), [-6.1, -5.6]]), np.concatenate([np.zeros(27), np.ones(27)])
+    model = BoostedTrees()
+    model.score = lambda x: x
+    model.calibrate(raw, k)
+    p = model.probability(raw)
+    t = np.where(k > 0, 28 / 29, 1 / 29)
+    q = lambda a: model.odd + (1 - 2 * model.odd) / (1 + np.exp(-a * raw))
+    loss = lambda a: -(t * np.log(q(a)) + (1 - t) * np.log(1 - q(a))).sum()
+    assert loss(model.scale) <= min(map(loss, np.linspace(0.02, 3, 300))) + 0.01 and ((p > 0.5) == (raw > 0)).all()
+
+
 def test_signals_leave_a_part_to_the_trees(spark):
     import numpy as np
 
