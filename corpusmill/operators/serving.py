@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import batched, chain, pairwise
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.runtime import checked_broadcast
+from corpusmill.runtime import BROADCAST_BYTES, BROADCAST_ROWS, checked_broadcast, settle, ship
 
 K1, B = 1.2, 0.75
+#: Terms that a task holds before it hands them on.
+HELD_TERMS = 200_000
 #: Accented letters and what the index folds them to.
 ACCENTS, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
 
@@ -97,16 +106,101 @@ def index_topics(articles: DataFrame) -> DataFrame:
     return c.groupBy("topic").agg(F.sum("n").alias("articles"), F.min_by("lang", F.struct(-F.col("n"), "lang")).alias("label")).withColumn("trend", F.lit("stable"))
 
 
-def tfidf_top(docs: DataFrame, id_col: str, text_col: str, group_col: str, top: int = 20, least_df: int = 2, most_share: float = 0.95, vocabulary: int = 10_000) -> DataFrame:
-    """(id, term, score, rank): one- and two-word terms by (1 + ln tf)(ln((1 + n) / (1 + df)) + 1), vectors of length one, by group."""
-    base = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(group_col).alias("g"), F.regexp_extract_all(F.lower(text_col), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)).alias("w"))
-    pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    tf = base.select("id", "g", F.explode(F.concat("w", pairs)).alias("term")).groupBy("g", "id", "term").agg(F.count("*").alias("tf"))
+def _peek(batches: Iterable[pa.RecordBatch], column: int) -> tuple[pa.DataType, Iterator[pa.RecordBatch]]:
+    """The Arrow type of a column, and all batches."""
+    batches = iter(batches)
+    first = next(batches, None)
+    return (pa.null(), iter(())) if first is None else (first.column(column).type, chain([first], batches))
+
+
+def _term_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Any, Any, Counter[str]]]:
+    """(id, group, counts of the one- and two-word terms) of rows (id, g, words) in the order of g and id; repeated ids add up."""
+    held: tuple[Any, Any] | None = None
+    tf: Counter[str] = Counter()
+    for b in batches:
+        for i, g, words in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            if held != (i, g):
+                if held is not None:
+                    yield *held, tf
+                held, tf = (i, g), Counter()
+            w = words.split(" ") if words else []
+            tf.update(w)
+            tf.update(map(" ".join, pairwise(w)))
+    if held is not None:
+        yield *held, tf
+
+
+def tfidf_top(docs: DataFrame, id_col: str, text_col: str, group_col: str, top: int = 20, least_df: int = 2, most_share: float = 0.95, vocabulary: int = 10_000, max_terms: int = BROADCAST_ROWS) -> DataFrame:
+    """(id, term, score, rank): one- and two-word terms by (1 + ln tf)(ln((1 + n) / (1 + df)) + 1), vectors of length one, by group.
+
+    Only the texts are shuffled, to the place of their id: the terms of a document are counted and ranked
+    there, as they come to many times the text. A group's vocabulary goes to every worker; where all
+    groups together have more than max_terms terms or BROADCAST_BYTES, it is joined by a shuffle.
+    Repeated ids of a group are one document (null ids, too), but each row counts in n.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    kind = {n: docs.schema[c].dataType.simpleString() for n, c in (("id", id_col), ("g", group_col))}
+    words = F.array_join(F.regexp_extract_all(F.lower(text_col), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)), " ")
+    base = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(group_col).alias("g"), words.alias("words"))
+    placed = base.repartition("g", "id").sortWithinPartitions("g", "id")
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, total = defaultdict(Counter), defaultdict(Counter)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for g, c in df.items():
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(c), type_g), pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64()), pa.array([total[g][t] for t in c], pa.int64())], names=["g", "term", "df", "total"])
+            df.clear()
+            total.clear()
+
+        type_g, batches = _peek(batches, 1)
+        for _, g, tf in _term_counts(batches):
+            df[g].update(tf.keys())
+            total[g].update(tf)
+            if sum(map(len, df.values())) > HELD_TERMS:
+                yield from out()
+        yield from out()
+
     n = base.groupBy("g").agg(F.count("*").alias("n"))
-    df = tf.groupBy("g", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).join(n, "g")
+    df = placed.mapInArrow(count, f"g {kind['g']}, term string, df bigint, total bigint").groupBy("g", "term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+    df = df.join(n.hint("shuffle_hash"), "g")  # without the hint the terms may be broadcast, as Spark takes them to be as few as the texts
     df = df.where((F.col("df") >= F.when(most_share * F.col("n") < 2, 1).otherwise(least_df)) & (F.col("df") <= most_share * F.col("n")))
     df = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("total"), "term"))).where(F.col("r") <= vocabulary)
-    x = tf.join(df.select("g", "term", "df", "n"), ["g", "term"]).withColumn("s", (1 + F.ln("tf")) * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1))
-    x = x.withColumn("score", F.round(F.col("s") / F.sqrt(F.sum(F.col("s") * F.col("s")).over(Window.partitionBy("g", "id"))), 6))
-    rank = F.row_number().over(Window.partitionBy("g", "id").orderBy(F.desc("score"), "term"))
-    return x.withColumn("rank", rank).where(F.col("rank") <= top).select("id", "term", "score", "rank")
+    df = settle(df.select("g", "term", (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")))
+
+    terms, size = df.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if terms > max_terms or size > BROADCAST_BYTES:
+        def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            type_id, batches = _peek(batches, 0)
+            type_g, batches = _peek(batches, 1)
+            found = ((i, g, t, c) for i, g, tf in _term_counts(batches) for t, c in tf.items())
+            for part in batched(found, HELD_TERMS):
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*part, strict=True), (type_id, type_g, pa.string(), pa.int64()), strict=True)], names=["id", "g", "term", "tf"])
+
+        x = placed.mapInArrow(rows, f"id {kind['id']}, g {kind['g']}, term string, tf bigint").join(df.hint("merge"), ["g", "term"]).withColumn("s", (1 + F.ln("tf")) * F.col("idf"))
+        x = x.withColumn("score", F.round(F.col("s") / F.sqrt(F.sum(F.col("s") * F.col("s")).over(Window.partitionBy("g", "id"))), 6))
+        rank = F.row_number().over(Window.partitionBy("g", "id").orderBy(F.desc("score"), "term"))
+        return x.withColumn("rank", rank).where(F.col("rank") <= top).select("id", "term", "score", "rank")
+
+    weights = defaultdict(dict)
+    for g, t, w in df.collect():
+        weights[g][t] = w
+    shared = spark.sparkContext.broadcast(dict(weights))
+
+    def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = shared.value
+        type_id, batches = _peek(batches, 0)
+
+        def ranked() -> Iterator[tuple[Any, str, float, int]]:
+            for i, g, tf in _term_counts(batches):
+                known = idf.get(g, {})
+                s = [(t, (1 + math.log(c)) * known[t]) for t, c in tf.items() if t in known]
+                norm = math.sqrt(math.fsum(x * x for _, x in s))
+                scores = sorted((-math.floor(x / norm * 1e6 + 0.5) / 1e6, t) for t, x in s)
+                yield from ((i, t, -x, k) for k, (x, t) in enumerate(scores[:top], 1))
+
+        for part in batched(ranked(), HELD_TERMS):
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*part, strict=True), (type_id, pa.string(), pa.float64(), pa.int32()), strict=True)], names=["id", "term", "score", "rank"])
+
+    return placed.mapInArrow(best, f"id {kind['id']}, term string, score double, rank int")

@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+from collections import Counter
 from datetime import date, datetime
 
 import numpy as np
@@ -357,6 +359,42 @@ def test_search(spark):
     assert serving.fts_rank(i.limit(0), ["x"], 3).count() == 0
 
 
+def test_tfidf_without_moving_or_broadcasting_terms(spark, tmp_path):
+    rng = random.Random(3)
+    words = [f"Wort{i}" for i in range(40)] + ["Été", "x", "다리", "a_b"]
+    rows = [(rng.randrange(60), " ".join(rng.choices(words, k=rng.choice([0, 1, 2, 30]))), rng.choice(["en", "ko"])) for _ in range(150)]
+    rows += [(None, "Wort1 Wort2 wort3", "en"), (None, "wort3, Wort2", "en"), (900, None, "en"), (901, "", "en"), (902, "solo alone", "xx"), (903, "Wort1 Wort2", None)]
+    spark.createDataFrame(rows, "id int, text string, lang string").write.parquet(f"{tmp_path}/docs")
+    tf, n, df, total = {}, Counter(), Counter(), Counter()
+    for i, text, g in rows:
+        if text is not None and g is not None:
+            n[g] += 1
+            w = re.findall(r"\w{2,}", text.lower())
+            tf.setdefault((g, i), Counter()).update(w + [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)])
+    for (g, _), c in tf.items():
+        for t, k in c.items():
+            df[g, t] += 1
+            total[g, t] += k
+    known = set()
+    for g in n:
+        usable = [t for x, t in df if x == g and (1 if 0.95 * n[g] < 2 else 2) <= df[g, t] <= 0.95 * n[g]]
+        known |= {(g, t) for t in sorted(usable, key=lambda t: (-total[g, t], t))[:100]}
+    want = set()
+    for (g, i), c in tf.items():
+        s = {t: (1 + math.log(k)) * (math.log((1 + n[g]) / (1 + df[g, t])) + 1) for t, k in c.items() if (g, t) in known}
+        scores = {t: round(x / math.sqrt(sum(y * y for y in s.values())), 6) for t, x in s.items()}
+        want |= {(i, t, scores[t], k) for k, t in enumerate(sorted(scores, key=lambda t: (-scores[t], t))[:20], 1)}
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    got = serving.tfidf_top(docs, "id", "text", "lang", vocabulary=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and plan.count("Exchange") == 1
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want) > 500
+    joined = serving.tfidf_top(docs, "id", "text", "lang", vocabulary=100, max_terms=0)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in joined.collect()} == want
+    assert serving.tfidf_top(docs.limit(0), "id", "text", "lang").count() == 0
+
+
 def test_knn_against_numpy(spark):
     rng = np.random.default_rng(9)
     v = rng.normal(size=(80, 5))
