@@ -10,8 +10,8 @@ are partial coverage and are verified by Hamming distance inside the join and by
 A batch's hashes are appended first and joined with those of the batches before it.
 
 A pair of titles that differ by one typo and known labels keeps at least three of its four rarest
-words, so it shares a piece; titles of fewer words have their two ends as pieces too. Which words are rare is fitted on a bounded sample of titles
-(sample_rows); every row is indexed. Pieces that a share of all rows have in common (recurring
+words, so it shares a piece; titles of fewer words have their two ends as pieces too. Which words are rare and which pieces many rows share is
+counted over all rows. Pieces that a share of all rows have in common (recurring
 titles) are refined with fingerprint bands: with at most 8 differing bits, of 9, 10, 11 or 12 bands
 at least 1, 2, 3 or 4 stay equal, so all combinations of that many bands are keys and no pair is
 lost, whatever the size of the group.
@@ -23,7 +23,7 @@ import pickle
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache, reduce
 from itertools import combinations
 from uuid import uuid4
@@ -38,8 +38,8 @@ from corpusmill.functions.url import canonical_url
 from corpusmill.runtime import read_file, settle, shared_dir, ship, write_file
 
 MAX_BITS = 8
-#: Titles on which word rarity is fitted.
-SAMPLE_ROWS = 20_000
+#: Keys that a task counts before it hands the counts on.
+HELD_KEYS = 200_000
 RAREST_WORDS = 4
 #: Expected rows of a group up to which no bands, 1 of 9, 2 of 10, 3 of 11 bands are used; beyond, 4 of 12.
 GROUP_LIMITS = (400, 16_000, 500_000, 16_000_000)
@@ -131,25 +131,62 @@ def _mix(*parts: int) -> int:
 
 
 class Rarity:
-    """Word counts and frequent pieces of a sample, in a form that goes to the executors; bounded by the sample."""
+    """How many titles have each word, and the levels of the pieces that many rows share, in a form that goes to the executors.
+
+    Words of one title and pieces of level 0 (at most GROUP_LIMITS[0] rows) aren't stored, as having no
+    entry says the same of them. Words are kept as sorted hashes with their counts, 16 bytes each.
+    """
 
     def __init__(self, titles: list[str | None], total: int, sites: frozenset[str]):
-        self.sites = sites
+        """Counted over a list of titles, each of which stands for total / len(titles) rows; fit_rarity counts a table."""
         counts = Counter(w for t in titles for w in set(_WORD.findall(core_title(t, sites))))
-        self.counts = {w: n for w, n in counts.items() if n > 1}
         scale = total / max(1, len(titles))
+        self._set(sites, {_word_hash(w): n for w, n in counts.items() if n > 1}, {}, self._level(scale))
         pieces = Counter(p for t in titles for p in self.pieces(core_title(t, sites)))
-        self.base = self._level(scale)
         self.levels = {p: lv for p, n in pieces.items() if n > 1 and (lv := self._level(n * scale)) > self.base}
 
+    def _set(self, sites: frozenset[str], counts: dict[int, int] | tuple[np.ndarray, np.ndarray], levels: dict[int, int], base: int) -> None:
+        hashes, n = (np.fromiter(counts, np.uint64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts))) if isinstance(counts, dict) else counts
+        order = np.argsort(hashes)
+        self.sites, self.hashes, self.counts, self.levels, self.base = sites, hashes[order], n[order], levels, base
+        self._ranks: dict[str, tuple[int, int]] = {}
+
+    @classmethod
+    def counted(cls, sites: frozenset[str], words: tuple[np.ndarray, np.ndarray], pieces: dict[int, int]) -> Rarity:
+        """Of counts over all rows: (hashes, counts) of the words of more than one title, and rows of pieces."""
+        out = cls.__new__(cls)
+        out._set(sites, words, {p: lv for p, n in pieces.items() if (lv := cls._level(n))}, 0)
+        return out
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_ranks": {}}
+
+    def __setstate__(self, state: dict) -> None:
+        if isinstance(state["counts"], dict):  # of an index stored earlier: the words themselves
+            self._set(state["sites"], {_word_hash(w): n for w, n in state["counts"].items()}, state["levels"], state["base"])
+        else:
+            self.__dict__.update(state)
+
     @staticmethod
     def _level(rows: float) -> int:
         return sum(rows > limit for limit in GROUP_LIMITS)
 
-    def pieces(self, core: str) -> list[int]:
+    def rank(self, word: str) -> tuple[int, int]:
+        """The titles that have the word, 0 for one, and its hash."""
+        found = self._ranks.get(word)
+        if found is None:
+            if len(self._ranks) >= HELD_KEYS:
+                self._ranks.clear()
+            h = _word_hash(word)
+            at = int(np.searchsorted(self.hashes, np.uint64(h)))
+            found = self._ranks[word] = (int(self.counts[at]) if at < len(self.hashes) and int(self.hashes[at]) == h else 0, h)
+        return found
+
+    def pieces(self, core: str, least: int = 0) -> list[int]:
+        """The pieces of a title; pairs only of words that at least `least` titles have."""
         found = _WORD.findall(core)
-        words = sorted(set(found), key=lambda w: (self.counts.get(w, 0), _word_hash(w)))[:RAREST_WORDS]
-        hashes = [_word_hash(w) for w in words]
+        words = sorted(map(self.rank, set(found)))[:RAREST_WORDS]
+        hashes = [h for n, h in words if n >= least]
         out = [_mix(min(a, b), max(a, b)) for a, b in combinations(hashes, 2)]
         if len(words) < RAREST_WORDS:  # an edit may touch all pairs of so few words, but not both ends of the title
             whole = "".join(found)
@@ -221,13 +258,41 @@ def title_copy_keys(hashes: DataFrame, sites: frozenset[str]) -> DataFrame:
     return rows.select("article_id", "title").mapInArrow(run, COPY_SCHEMA)
 
 
-def fit_rarity(hashes: DataFrame, sites: frozenset[str], sample_rows: int = SAMPLE_ROWS) -> Rarity:
-    """Fit on about sample_rows titles, chosen by the hash of the article id."""
-    total = hashes.count()
-    keep = min(1.0, sample_rows / max(1, total))
-    # 2**20 steps are fine enough for a sampling rate
-    chosen = hashes.where(F.pmod(F.xxhash64("article_id"), F.lit(1 << 20)) < max(1, int(keep * (1 << 20)))).select("title")
-    return Rarity([r[0] for r in chosen.limit(2 * sample_rows).collect()], total, sites)
+def _tally(titles: DataFrame, keys: Callable[[str], Iterable[int]], more_than: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys (64 bits) that come up more than so often in all titles, and how often; summed up in each task and by a shuffle."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[int] = Counter()
+
+        def out() -> pa.RecordBatch:
+            found = pa.RecordBatch.from_arrays([pa.array(np.fromiter(held, np.uint64, len(held)).view(np.int64)), pa.array(held.values(), pa.int64())], names=["key", "n"])
+            held.clear()
+            return found
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                held.update(keys(t))
+                if len(held) > HELD_KEYS:
+                    yield out()
+        yield out()
+
+    found = titles.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > more_than).toArrow()
+    return found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
+
+
+def fit_rarity(hashes: DataFrame, sites: frozenset[str]) -> Rarity:
+    """Counted over the titles of all rows that get title pieces: first the words, then the pieces that may have more than GROUP_LIMITS[0] rows.
+
+    No piece has more rows than either of its words, so pairs with a word of fewer needn't be counted. The
+    driver receives the words of more than one title and the pieces beyond the limit.
+    """
+    spark = hashes.sparkSession
+    ship(spark)
+    titles = hashes.where("simhash <> 0 and article_id is not null and title is not null").select("title")
+    words = _tally(titles, lambda t: map(_word_hash, set(_WORD.findall(core_title(t, sites)))), 1)
+    shared = spark.sparkContext.broadcast(Rarity.counted(sites, words, {}))
+    pieces = _tally(titles, lambda t: shared.value.pieces(core_title(t, sites), GROUP_LIMITS[0] + 1), GROUP_LIMITS[0])
+    return Rarity.counted(sites, words, dict(zip(*(x.tolist() for x in pieces), strict=True)))
 
 
 def piece_keys(hashes: DataFrame, rarity: Rarity) -> DataFrame:
@@ -345,7 +410,7 @@ class BatchIndex:
         return copy_pairs(new["copies"], old["copies"]).union(verified_pairs(close, new["titles"], old["titles"])).distinct()
 
 
-def batch_duplicates(seen: DataFrame, hashes: DataFrame, sources: DataFrame, sample_rows: int = SAMPLE_ROWS, path: str | None = None) -> DataFrame:
+def batch_duplicates(seen: DataFrame, hashes: DataFrame, sources: DataFrame, path: str | None = None) -> DataFrame:
     """Distinct (article_id_a, article_id_b), a < b: the same article in two different batches.
 
     The batches are taken in order: each is hashed, appended to the index and joined with what was
@@ -357,7 +422,7 @@ def batch_duplicates(seen: DataFrame, hashes: DataFrame, sources: DataFrame, sam
     seen, hashes = (x.withColumn("batch_no", F.coalesce(F.col("batch_no").cast("int"), F.lit(-1))) for x in (seen, hashes))
     sizes = {r[0]: r[1] for r in seen.select("batch_no").union(hashes.select("batch_no")).groupBy("batch_no").count().collect()}
     buckets = min(max(sum(sizes.values()) // ROWS_A_BUCKET, 6), MAX_BUCKETS)
-    rarity = fit_rarity(hashes, site_names(sources), sample_rows)
+    rarity = fit_rarity(hashes, site_names(sources))
     index = BatchIndex(spark, path or f"{shared_dir(spark).rstrip('/')}/batches-{uuid4().hex}", rarity, buckets)
     found = []
     for at, batch in enumerate(sorted(sizes)):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from corpusmill.llm.boosting import BoostedTrees
-from corpusmill.llm.incremental import GROUP_LIMITS, BatchIndex, Rarity, banded, batch_duplicates, close_pairs, copy_pairs, core_title, letters, piece_keys, same_title, site_names
+from corpusmill.llm.incremental import GROUP_LIMITS, BatchIndex, Rarity, banded, batch_duplicates, close_pairs, copy_pairs, core_title, fit_rarity, letters, piece_keys, same_title, site_names
 from corpusmill.llm.mixing import mix_sources, rake
 from corpusmill.llm.quality import CALIBRATION, CHECK, FEATURES, HOLDOUT, calibration_error, fit_quality, junk_probability, text_statistics, weak_labels
 from corpusmill.llm.tokens import Encoder, Transducer, encode_corpus, load_ranks, merge_word, token_counts, vocabulary_path
@@ -99,6 +99,29 @@ def test_large_groups_give_the_same_pairs(spark):
     assert small.base == 0 and found[0] == found[1] == found[2] and len(found[0]) > 20
 
 
+def test_rarity_is_counted_over_all_rows(spark):
+    fill = spark.range(45_000).selectExpr("concat('n', id) as article_id", "concat('W', id div 2, ' the old V', id, ' mill U', id) as title")
+    many = spark.range(GROUP_LIMITS[0] + 1).selectExpr("concat('a', id) as article_id", "'Breaking: Alfa bravo' as title")
+    few = spark.range(GROUP_LIMITS[0]).selectExpr("concat('c', id) as article_id", "'gamma delta' as title")
+    unused = spark.range(9).selectExpr("if(id < 5, null, concat('x', id)) as article_id", "if(id < 5, 'gamma delta', null) as title")
+    df = fill.union(many).union(few).union(unused).selectExpr("1L as simhash", "*", "1 as batch_no")
+    df = df.union(spark.createDataFrame([(0, "z", "gamma delta", 1)], df.schema))
+    r = fit_rarity(df, frozenset())
+    whole = Rarity([t for i, t in df.where("simhash <> 0").select("article_id", "title").collect() if i and t], 45_801, frozenset())
+    assert r.base == 0 and r.levels == whole.levels == dict.fromkeys(whole.pieces("alfa bravo"), 1) and len(r.levels) == 3
+    for title in ("w7 the old v15 mill u15", "gamma delta", "alfa gamma w3", "", "unheard of"):
+        assert r.pieces(title) == whole.pieces(title)
+    assert [r.rank(w)[0] for w in ("the", "w7", "v15", "alfa", "gamma", "unheard")] == [45_000, 2, 0, 401, 400, 0]
+
+
+def test_rarity_of_an_earlier_index_is_read():
+    titles = ["the old mill"] * 3 + ["an old bridge at the mill", "new"]
+    r = Rarity(titles, 5, frozenset())
+    old = Rarity.__new__(Rarity)
+    old.__setstate__({"sites": frozenset(), "counts": {"the": 4, "old": 4, "mill": 4}, "levels": {}, "base": 0})
+    assert [old.pieces(t) for t in titles] == [r.pieces(t) for t in titles]
+
+
 def test_index_of_batches(spark, tmp_path):
     seen, hashes = make_batches(random.Random(6), 150)
     sites = frozenset(["hoti post"])
